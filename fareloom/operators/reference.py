@@ -56,12 +56,15 @@ def clean_reference(df: DataFrame, mapping: dict[str, str] | None = None) -> Dat
 
 
 def standardise_and_hash(
-    df: DataFrame, key: str = "location_id", attributes: Sequence[str] = ZONE_ATTRIBUTES
+    df: DataFrame,
+    key: str = "location_id",
+    attributes: Sequence[str] = ZONE_ATTRIBUTES,
+    key_type: str = "int",
 ) -> DataFrame:
     """Integer key, upper-cased trimmed attributes and an MD5 over all of them."""
     require_columns(df, [key, *attributes])
     standard = df.select(
-        F.col(key).try_cast("int").alias(key), *[upper_trim(c).alias(c) for c in attributes]
+        F.col(key).try_cast(key_type).alias(key), *[upper_trim(c).alias(c) for c in attributes]
     )
     return standard.withColumn("record_hash", md5_hash(key, attributes))
 
