@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fareloom.functions.text import blank
 from fareloom.operators.dedupe import duplicate_keys
 from fareloom.operators.star import Star
-from fareloom.session import broadcast_if_small
 
 REQUIRED_KEYS = (
     "vendorid", "pickup_datetime", "dropoff_datetime", "date_key", "pickup_location_id",
@@ -91,7 +90,7 @@ def fact_measurements(star: Star) -> DataFrame:
     cells = star.fact_trips.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(null_key).alias("null_rows")
     )
-    zp = broadcast_if_small(_key_counts(star.dim_zone, "location_id", "zp"))
+    zp = star.hint_zones(_key_counts(star.dim_zone, "location_id", "zp"))
     zd = zp.withColumnsRenamed({"_zp": "_zd", "zp_n": "zd_n"})
     d = _key_counts(star.dim_date, "date_key", "d")
     p = _key_counts(star.dim_payment, "payment_type", "p")

@@ -44,11 +44,29 @@ def require_empty(df: DataFrame, reason: str) -> None:
 
 
 def type_recommendations(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
-    """One row per column: its type now and the recommended one, if any."""
-    rows = [(f.name, f.dataType.simpleString(), wanted.get(f.name)) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(
-        rows, "column_name string, current_type string, recommended string"
-    )
+    """One row per column: its type, the recommended one if any, and how the values convert.
+
+    ``unconvertible`` counts values that the recommended type would turn into NULL.
+    All columns are measured in one scan.
+    """
+    measured = []
+    for column in df.schema.fields:
+        value, target = F.col(f"`{column.name}`"), wanted.get(column.name)
+        lost = value.isNotNull() & value.try_cast(target).isNull() if target else F.lit(False)
+        measured.append(
+            F.struct(F.count_if(lost).alias("lost"), F.count(value).alias("n")).alias(column.name)
+        )
+    entries = [
+        F.struct(
+            F.lit(column.name).alias("column_name"),
+            F.lit(column.dataType.simpleString()).alias("current_type"),
+            F.lit(wanted.get(column.name)).cast("string").alias("recommended"),
+            F.col(f"`{column.name}`.lost").alias("unconvertible"),
+            F.col(f"`{column.name}`.n").alias("non_null"),
+        )
+        for column in df.schema.fields
+    ]
+    return df.agg(*measured).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
 def validation_report(

@@ -70,7 +70,8 @@ def records_processed(lines: DataFrame) -> DataFrame:
 
 def collect_runs(runs: DataFrame, lines: DataFrame) -> DataFrame:
     """Run history rows: finished runs with their processed count, NULL if none was logged."""
-    return terminal_runs(runs).join(records_processed(lines), "run_id", "left").select(
+    finished = terminal_runs(runs).drop("records_processed")
+    return finished.join(records_processed(lines), "run_id", "left").select(
         "run_id", "job_name", "status", "records_processed", "started_at", "completed_at"
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -36,6 +36,22 @@ class Star:
     dim_zone: DataFrame
     dim_date: DataFrame
     dim_payment: DataFrame
+    zone_bound: int | None = None
+
+    def tables(self) -> dict[str, DataFrame]:
+        """The four tables by name, dimensions first."""
+        return {
+            "dim_zone": self.dim_zone,
+            "dim_date": self.dim_date,
+            "dim_payment": self.dim_payment,
+            "fact_trips": self.fact_trips,
+        }
+
+    def hint_zones(self, zones: DataFrame) -> DataFrame:
+        """Broadcast hint for a frame of at most one row per zone, if zones are few."""
+        if self.zone_bound is None:
+            return broadcast_if_small(zones)
+        return broadcast_if_bounded(zones, self.zone_bound)
 
 
 def fact_trips(silver: DataFrame) -> DataFrame:
@@ -100,9 +116,9 @@ def dim_payment(spark: SparkSession) -> DataFrame:
 def build_star(silver: DataFrame, zones: DataFrame, *, zone_bound: int | None = None) -> Star:
     """All four tables. ``zone_bound`` is the proven row limit of ``zones``, when known."""
     fact = fact_trips(silver)
-    zone = dim_zone(zones)
-    zone = broadcast_if_small(zone) if zone_bound is None else broadcast_if_bounded(zone, zone_bound)
-    return Star(fact, zone, dim_date(fact), F.broadcast(dim_payment(silver.sparkSession)))
+    payments = F.broadcast(dim_payment(silver.sparkSession))
+    bare = Star(fact, dim_zone(zones), dim_date(fact), payments, zone_bound)
+    return replace(bare, dim_zone=bare.hint_zones(bare.dim_zone))
 
 
 def star_join(star: Star, how: str = "inner") -> DataFrame:
@@ -128,7 +144,7 @@ def star_rollup(star: Star) -> DataFrame:
     cells = star.fact_trips.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("trips"), money_sum("fare_amount").alias("fare_revenue")
     )
-    named = star_join(Star(cells, star.dim_zone, star.dim_date, star.dim_payment))
+    named = star_join(replace(star, fact_trips=cells))
     return named.groupBy(
         F.col("zp.borough").alias("pickup_borough"),
         F.col("zd.borough").alias("dropoff_borough"),

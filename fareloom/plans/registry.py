@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from fareloom.plans import trip_queries
+from fareloom.plans import master_queries, run_queries, trip_queries
 
-MODULES = (trip_queries,)
+MODULES = (trip_queries, master_queries, run_queries)
 
 
 def queries() -> dict:

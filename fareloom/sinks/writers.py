@@ -82,17 +82,14 @@ def publish_star(
     ``expected`` names the dimension row counts to insist on; nothing is written
     when one is off. Point readers at ``root`` only after this returns.
     """
-    tables = {
-        "dim_zone": star.dim_zone,
-        "dim_date": star.dim_date,
-        "dim_payment": star.dim_payment,
-    }
+    tables = star.tables()
+    fact = tables.pop("fact_trips")
     for name, count in expected.items():
         require_row_count(tables[name], count, name)
     for name, df in tables.items():
         write_snapshot(df, f"{root}/{name}")
-    fact = star.fact_trips.hint("rebalance") if fact_files is None else star.fact_trips.repartition(fact_files)
-    fact.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{root}/fact_trips")
+    shaped = fact.hint("rebalance") if fact_files is None else fact.repartition(fact_files)
+    shaped.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{root}/fact_trips")
     return {name: f"{root}/{name}" for name in [*tables, "fact_trips"]}
 
 

@@ -24,19 +24,23 @@ def watch_failures(
     )
 
 
-def sync_stream(runs: DataFrame, path: str, checkpoint: str, schema: str) -> StreamingQuery:
+def sync_stream(
+    runs: DataFrame, path: str, checkpoint: str, schema: str, first_batch: int = 0
+) -> StreamingQuery:
     """Keep a run history under ``path`` holding each finished run once.
 
     Every micro-batch writes the runs the history lacks into a folder named after
     the batch. A batch that is retried after a failure replaces its own folder, so
     re-delivered events add nothing. Unfinished runs are left for the event that
-    finishes them.
+    finishes them. A query under a new checkpoint counts its batches from zero again;
+    ``first_batch`` keeps its folders apart from earlier ones.
     """
     spark = runs.sparkSession
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{path}/batch={batch_id}"
-        history = read_history(spark, path, schema).filter(f"batch <> {batch_id}")
+        number = first_batch + batch_id
+        folder = f"{path}/batch={number}"
+        history = read_history(spark, path, schema).filter(f"batch <> {number}")
         new_rows(history, terminal_runs(batch), ["run_id"]).write.mode("overwrite").parquet(folder)
 
     # The folder exists from the start, so the first batch reads an empty history.
