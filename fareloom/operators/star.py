@@ -162,23 +162,33 @@ def busiest_groups(star: Star, k: int = 10) -> DataFrame:
     return star_rollup(star).orderBy(F.desc("trips"), *names).limit(k)
 
 
-def _dated(star: Star) -> DataFrame:
+def _dated(cells: DataFrame, star: Star) -> DataFrame:
+    """Replace the date key of already summed rows by the calendar date."""
     d = star.dim_date.select("date_key", F.col("full_date").alias("trip_date"))
-    return star.fact_trips.join(d, "date_key")
+    return cells.join(d, "date_key").drop("date_key")
 
 
 def star_counts(star: Star, *by: str) -> DataFrame:
-    """Trips by date and further keys; ``pickup_hour`` is taken from the pickup time."""
-    dated = _dated(star).withColumn("pickup_hour", F.hour("pickup_datetime"))
-    return dated.groupBy("trip_date", *by).agg(F.count(F.lit(1)).alias("trip_count"))
+    """Trips by date and further keys; ``pickup_hour`` is taken from the pickup time.
+
+    Trips are counted by date key first, so the calendar meets a few cells only.
+    """
+    fact = star.fact_trips.withColumn("pickup_hour", F.hour("pickup_datetime"))
+    cells = fact.groupBy("date_key", *by).agg(F.count(F.lit(1)).alias("n"))
+    return _dated(cells, star).groupBy("trip_date", *by).agg(F.sum("n").alias("trip_count"))
 
 
 def star_revenue(star: Star) -> DataFrame:
     """Fare revenue and weighted averages by date."""
-    return _dated(star).groupBy("trip_date").agg(
-        money_sum("fare_amount").alias("fare_revenue"),
-        money_mean("fare_amount", 4).alias("average_fare"),
-        money_mean("trip_distance", 4).alias("average_distance"),
+    cells = star.fact_trips.groupBy("date_key").agg(
+        F.count(F.lit(1)).alias("n"),
+        money_sum("fare_amount").alias("fare"),
+        money_sum("trip_distance").alias("distance"),
+    )
+    return _dated(cells, star).groupBy("trip_date").agg(
+        F.sum("fare").cast("decimal(20,2)").alias("fare_revenue"),
+        F.round(F.sum("fare") / F.sum("n"), 4).alias("average_fare"),
+        F.round(F.sum("distance") / F.sum("n"), 4).alias("average_distance"),
     )
 
 

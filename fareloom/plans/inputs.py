@@ -11,12 +11,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from fareloom.operators.clean import silver
 from fareloom.operators.matching import resolve_current
 from fareloom.operators.star import Star, build_star
+from fareloom.sources.readers import read_table, spread_if_narrow
 
 # ---------------------------------------------------------------- helpers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
+
+
+def two_decimals(value: Column) -> Column:
+    """Nearest hundredth, in plain double arithmetic."""
+    return F.rint(value * 100) / F.lit(100.0)
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -49,7 +55,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Orders meet customers first: that shuffles orders, not order lines, on the customer key.
     placed = (
-        table(spark, sf_dir, "orders")
+        spread_if_narrow(table(spark, sf_dir, "orders"), "o_orderkey")
         .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
         .join(
             table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
@@ -73,12 +79,12 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("o_orderpriority", 1, 1).cast("int").alias("payment_type"),
         F.col("l_extendedprice").alias("fare_amount"),
         (F.col("l_tax") * 100).alias("tip_amount"),
-        F.round(F.col("l_extendedprice") + F.col("l_tax") * 100, 2).alias("total_amount"),
+        two_decimals(F.col("l_extendedprice") + F.col("l_tax") * 100).alias("total_amount"),
         F.when(~absent, (F.col("l_partkey") % 6 + 1).cast("int")).alias("RatecodeID"),
         F.when(~absent, F.when(F.col("l_returnflag") == "A", "Y").otherwise("N"))
         .alias("store_and_fwd_flag"),
-        F.round(F.col("l_discount") * 100 - 2, 2).alias("extra"),
-        F.round(F.col("l_discount") * 100 - 1, 2).alias("tolls_amount"),
+        two_decimals(F.col("l_discount") * 100 - 2).alias("extra"),
+        two_decimals(F.col("l_discount") * 100 - 1).alias("tolls_amount"),
         "l_orderkey",
         "l_linenumber",
     )

@@ -256,14 +256,9 @@ register(
 register(
     "surrogate_ids",
     """SELECT COUNT(*) AS n, COUNT(*) AS distinct_ids, CAST(1 AS BIGINT) AS lowest,
-              COUNT(*) AS highest FROM lineitem""",
+              COUNT(*) AS highest FROM orders""",
 )(
-    lambda s, d: assign_ids(
-        table(s, d, "lineitem"),
-        ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-         "l_shipdate"],
-        "row_id",
-    ).agg(
+    lambda s, d: assign_ids(table(s, d, "orders"), ["o_orderkey"], "row_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("row_id").alias("distinct_ids"),
         F.min("row_id").alias("lowest"),

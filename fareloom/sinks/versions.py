@@ -47,22 +47,19 @@ class VersionedTable:
         """Write ``df`` as version 0; a table that exists already is refused."""
         if self.latest() is not None:
             raise ValueError(f"{self.root} already holds a table; choose a new root to start over")
-        segment = self._write(df, 0, 0)
+        segment = self._write(df, 0)
         return self._commit(0, "CREATE", [segment], df.columns, {})
 
     def read(self, version: int | None = None) -> DataFrame:
         """The newest version, or the one asked for, under its own columns."""
         entry = self._entry(version)
-        stored = self.spark.read.option("mergeSchema", "true").parquet(
-            *[f"{self.root}/{s}" for s in entry.segments]
-        )
-        return stored.select(*entry.columns)
+        return self._segments(entry.segments).select(*entry.columns)
 
     def append(self, df: DataFrame) -> int:
         """Add rows; new columns join the schema and read NULL for older rows."""
         entry = self._entry(None)
         version = entry.version + 1
-        segment = self._write(df, version, 0)
+        segment = self._write(df, version)
         columns = [*entry.columns, *[c for c in df.columns if c not in entry.columns]]
         rows = self.spark.read.parquet(f"{self.root}/{segment}").count()
         return self._commit(
@@ -73,24 +70,19 @@ class VersionedTable:
         """Set columns where ``condition`` holds; untouched segments are shared with the last version."""
         entry = self._entry(None)
         version = entry.version + 1
-        segments, updated, rewritten = [], 0, 0
-        for position, segment in enumerate(entry.segments):
-            rows = self.spark.read.parquet(f"{self.root}/{segment}")
-            hits = rows.filter(condition).count()
-            if hits:
-                changed = conditional_update(rows, condition, values)
-                segments.append(self._write(changed, version, position))
-                updated, rewritten = updated + hits, rewritten + 1
-            else:
-                segments.append(segment)
-        metrics = {"rows_updated": str(updated), "segments_rewritten": str(rewritten)}
+        hits = self._matches(entry.segments, condition)
+        segments = [s for s in entry.segments if s not in hits]
+        if hits:
+            rows = self._segments(sorted(hits))
+            segments.append(self._write(conditional_update(rows, condition, values), version))
+        metrics = {"rows_updated": str(sum(hits.values())), "segments_rewritten": str(len(hits))}
         return self._commit(version, "UPDATE", segments, entry.columns, metrics)
 
     def overwrite(self, df: DataFrame, operation: str = "OVERWRITE") -> int:
         """Replace the content, for example by the next state computed from this version."""
         entry = self._entry(None)
         version = entry.version + 1
-        segment = self._write(df, version, 0)
+        segment = self._write(df, version)
         return self._commit(version, operation, [segment], df.columns, {})
 
     def _entry(self, version: int | None):
@@ -100,8 +92,19 @@ class VersionedTable:
             raise ValueError(f"{self.root} has no version {wanted}")
         return rows[0]
 
-    def _write(self, df: DataFrame, version: int, part: int) -> str:
-        segment = f"data/v={version}/part={part}"
+    def _segments(self, names: Sequence[str]) -> DataFrame:
+        """Rows of some segments; a column a segment lacks reads NULL."""
+        paths = [f"{self.root}/{name}" for name in names]
+        return self.spark.read.option("mergeSchema", "true").parquet(*paths)
+
+    def _matches(self, names: Sequence[str], condition: Column) -> dict[str, int]:
+        """Number of matching rows of every segment that has any, counted in one job."""
+        segment = F.regexp_extract(F.col("_metadata.file_path"), "(data/v[0-9]+)/", 1)
+        found = self._segments(names).filter(condition).groupBy(segment.alias("segment")).count()
+        return {row["segment"]: row["count"] for row in found.collect()}
+
+    def _write(self, df: DataFrame, version: int) -> str:
+        segment = f"data/v{version}"
         df.write.mode("overwrite").parquet(f"{self.root}/{segment}")
         return segment
 

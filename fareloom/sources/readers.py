@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fareloom.sources.spec import SourceSpec
 
@@ -21,6 +21,30 @@ def read_trips(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+_KNOWN_SCHEMAS: dict[str, T.StructType] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table whose files do not change shape while the program runs.
+
+    The schema is taken from the files once per path; later reads start no job.
+    """
+    if path not in _KNOWN_SCHEMAS:
+        _KNOWN_SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_KNOWN_SCHEMAS[path]).parquet(path)
+
+
+def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
+    """Deal rows out by ``key`` when the scan has fewer partitions than there are cores.
+
+    A small table often is one file with one row group: one task reads it and would
+    run everything up to the next shuffle alone. Filters and column pruning still
+    reach the scan. A table with enough partitions is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_zone_csv(spark: SparkSession, path: str, schema: str = ZONE_SCHEMA) -> DataFrame:
     """Zone file with a fixed schema whose names are checked against the header.
 
