@@ -21,13 +21,15 @@ def audit_rows(
 
     ``record_id`` is the business key. ``columns`` limits the JSON to some columns.
     """
-    names = list(columns or merge.replaced.columns)
-    closing = merge.replaced.withColumn("_old", row_json(names)).select(key, "version", "_old")
-    updates = (
-        merge.expired.withColumns({"_new": row_json(names), "_at": F.col("end_date")})
-        .select(key, "version", "_new", "_at")
-        .join(closing, [key, "version"])
-        .select(key, F.lit("UPDATE").alias("operation"), "_at", "_old", "_new")
+    names = list(columns or [c for c in merge.replaced.columns if c != "closed_at"])
+    # The closed row differs from the old one in two columns only, so no join is needed.
+    closed = {"is_current": F.lit(False), "end_date": F.col("closed_at")}
+    updates = merge.replaced.select(
+        key,
+        F.lit("UPDATE").alias("operation"),
+        F.col("closed_at").alias("_at"),
+        row_json(names).alias("_old"),
+        F.to_json(F.struct(*[closed.get(c, F.col(c)).alias(c) for c in names])).alias("_new"),
     )
     inserts = merge.created.select(
         key,

@@ -27,7 +27,7 @@ class MergeResult:
     ``history``  the next table: untouched, expired and new rows
     ``created``  new rows, with ``status`` INSERTED or UPDATED
     ``expired``  formerly current rows, now closed
-    ``replaced`` the same rows as they were before the merge
+    ``replaced`` the same rows as they were before the merge, and ``closed_at``
     ``statuses`` number of batch rows by status
     ``rejects``  batch rows that cannot be applied, with ``reason``
     """
@@ -110,7 +110,7 @@ def scd2_merge(
         history=closed.unionByName(kept).unionByName(new_rows),
         created=created,
         expired=expired,
-        replaced=replaced_all.select(*history.columns),
+        replaced=replaced_all.withColumnRenamed("_closed_at", "closed_at"),
         statuses=_status_counts(counts, rejects),
         rejects=rejects,
     )

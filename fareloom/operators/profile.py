@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fareloom.functions.numeric import exact_avg
 from fareloom.functions.temporal import elapsed_minutes, elapsed_seconds
 from fareloom.operators.dedupe import duplicate_row_count
-from fareloom.operators.quantiles import exact_quantiles, melt, value_counts
+from fareloom.operators.quantiles import exact_quantiles, melt, named, value_counts
 
 # Which columns each section looks at.
 NEGATIVE_MEASURES = (
@@ -111,7 +111,8 @@ def histogram(
     place = F.floor((F.col("value") - F.col("lo")) / F.nullif(width, F.lit(0.0)))
     placed = counts.join(F.broadcast(ranges), F.col("measure") == F.col("_m"))
     binned = placed.withColumn("bin", F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int"))
-    return binned.groupBy("measure", "bin", "lo", "hi").agg(F.sum("n").alias("rows")).select(
+    rows = binned.groupBy("measure", "bin", "lo", "hi").agg(F.sum("n").alias("rows"))
+    return named(rows, measures).select(
         "measure",
         "bin",
         (F.col("lo") + F.col("bin") * width).alias("lower_edge"),
@@ -145,7 +146,7 @@ def box_plot(
     )
     low, high = F.col("q1") - F.col("_reach"), F.col("q3") + F.col("_reach")
     inside = F.col("value").between(low, high)
-    return (
+    boxes = (
         counts.join(F.broadcast(fences), F.col("measure") == F.col("_m"))
         .groupBy("measure", "q1", "median", "q3")
         .agg(
@@ -154,6 +155,7 @@ def box_plot(
             F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
         )
     )
+    return named(boxes, names)
 
 
 def distinct_values(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Cells per refinement; three rounds divide a measure's range by 7e10.
 CELLS = 4096
@@ -18,9 +18,16 @@ ROUNDS = 3
 
 
 def melt(df: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """Measures as rows (``measure``, ``value``); NULL and NaN are left out."""
+    """Measures as rows (``measure``, ``value``); NULL and NaN are left out.
+
+    ``measure`` is the position in ``measures``: grouping by two numbers is much
+    cheaper than grouping by a name. :func:`named` puts the names back.
+    """
     entries = F.array(
-        *[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures]
+        *[
+            F.struct(F.lit(place).alias("measure"), F.col(m).cast("double").alias("value"))
+            for place, m in enumerate(measures)
+        ]
     )
     return (
         df.select(F.explode(entries).alias("e"))
@@ -29,6 +36,12 @@ def melt(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     )
 
 
+def named(df: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """Measure positions as names."""
+    names = F.array(*[F.lit(m) for m in measures])
+    return df.withColumn("measure", F.element_at(names, F.col("measure") + 1))
+
+
 def value_counts(melted: DataFrame) -> DataFrame:
     """Number of times each value of each measure occurs."""
     return melted.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
@@ -40,53 +53,70 @@ def exact_quantiles(counts: DataFrame, probabilities: Sequence[float]) -> DataFr
     The number of measures and probabilities is fixed by the caller, so the table
     of searched ranks is a few rows and is broadcast in every round.
     """
-    targets = _targets(counts, probabilities)
-    for _ in range(ROUNDS):
+    targets = _locate(_grid(counts), probabilities)
+    for _ in range(ROUNDS - 1):
         targets = _refine(counts, targets)
     return _interpolate(_pick(counts, targets))
 
 
-def _targets(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """The ranks to find: floor and ceiling of each quantile position (zero-based)."""
+def _cell(lo: str, hi: str) -> Column:
+    """Number of the grid cell a value falls into; one cell when all values are equal."""
+    width = F.nullif(F.col(hi) - F.col(lo), F.lit(0.0))
+    place = F.floor((F.col("value") - F.col(lo)) / width * CELLS)
+    return F.coalesce(F.least(place, F.lit(CELLS - 1)), F.lit(0))
+
+
+def _grid(counts: DataFrame) -> DataFrame:
+    """The coarse grid of every measure: rows in each cell and in the cells below it."""
+    ranges = counts.groupBy(F.col("measure").alias("_m")).agg(
+        F.min("value").alias("_min"), F.max("value").alias("_max")
+    )
+    cells = (
+        counts.join(F.broadcast(ranges), F.col("measure") == F.col("_m"))
+        .withColumn("_cell", _cell("_min", "_max"))
+        .groupBy("measure", "_cell")
+        .agg(F.sum("n").alias("_in"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    )
+    each = Window.partitionBy("measure")
+    upto = F.sum("_in").over(each.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0))
+    return cells.withColumns({"_upto": upto, "_n": F.sum("_in").over(each)})
+
+
+def _locate(grid: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """The cell holding each wanted rank: floor and ceiling of every quantile position."""
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
+    ranks = F.array_distinct(F.array(F.floor("_position"), F.ceil("_position")))
     return (
-        counts.groupBy("measure")
-        .agg(F.sum("n").alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
-        .select("*", wanted.alias("probability"))
+        grid.select("*", wanted.alias("probability"))
         .withColumn("_position", F.col("probability") * (F.col("_n") - 1))
+        .withColumn("_rank", F.explode(ranks))
+        .filter(_holds_rank(F.col("_in")))
         .select(
-            "measure",
-            "probability",
-            "_position",
-            F.explode(
-                F.array_distinct(F.array(F.floor("_position"), F.ceil("_position")))
-            ).alias("_rank"),
-            F.lit(0).cast("long").alias("_below"),
-            "_lo",
-            "_hi",
+            "measure", "probability", "_position", "_rank",
+            (F.col("_upto") - F.col("_in")).alias("_below"), "_lo", "_hi",
         )
     )
 
 
+def _holds_rank(inside: Column) -> Column:
+    return (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - inside)
+
+
 def _refine(counts: DataFrame, targets: DataFrame) -> DataFrame:
     """Narrow each target from its range to the one cell that holds its rank.
 
     A cell is kept as the smallest and largest value seen in it, so no value can
     fall between two cells by rounding.
     """
-    cell = F.least(
-        F.floor((F.col("value") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * CELLS),
-        F.lit(CELLS - 1),
-    )
     keys = ["measure", "probability", "_position", "_rank", "_below"]
     order = Window.partitionBy("measure", "probability", "_rank").orderBy("_cell")
     return (
         _within(counts, targets)
-        .withColumn("_cell", F.coalesce(cell, F.lit(0)))
+        .withColumn("_cell", _cell("_lo", "_hi"))
         .groupBy(*keys, "_cell")
         .agg(F.sum("n").alias("_in"), F.min("value").alias("_lo"), F.max("value").alias("_hi"))
         .withColumn("_upto", F.col("_below") + F.sum("_in").over(order))
-        .filter((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_in")))
+        .filter(_holds_rank(F.col("_in")))
         .select(
             "measure", "probability", "_position", "_rank",
             (F.col("_upto") - F.col("_in")).alias("_below"), "_lo", "_hi",
@@ -106,7 +136,7 @@ def _pick(counts: DataFrame, targets: DataFrame) -> DataFrame:
     return (
         _within(counts, targets)
         .withColumn("_upto", F.col("_below") + F.sum("n").over(order))
-        .filter((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("n")))
+        .filter(_holds_rank(F.col("n")))
         .select("measure", "probability", "_position", "_rank", "value")
     )
 

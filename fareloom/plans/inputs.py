@@ -181,9 +181,10 @@ def current_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_current(matches, zones, nation_golden(zones), 1, 265)
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
+def star(spark: SparkSession, sf_dir: str, cleaned: DataFrame | None = None) -> Star:
     """The proxy star. Resolution keeps ids 1..265, so the zone dimension is that small."""
-    return build_star(trips(spark, sf_dir), current_zones(spark, sf_dir), zone_bound=265)
+    cleaned = trips(spark, sf_dir) if cleaned is None else cleaned
+    return build_star(cleaned, current_zones(spark, sf_dir), zone_bound=265)
 
 
 STAR_SQL = TRIPS_SQL + """,
