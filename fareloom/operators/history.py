@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fareloom.operators.keys import assign_ids, highest_id
+from fareloom.session import shared_dir
 
 INSERTED, UPDATED, NO_CHANGE, ERROR = "INSERTED", "UPDATED", "NO_CHANGE", "ERROR"
 
@@ -22,7 +23,7 @@ SLICE_ROWS = 1_000_000
 
 @dataclass(frozen=True)
 class MergeResult:
-    """Outcome of a merge; every member is a lazy frame.
+    """Outcome of a merge; every member is a lazy frame over the stored changes.
 
     ``history``  the next table: untouched, expired and new rows
     ``created``  new rows, with ``status`` INSERTED or UPDATED
@@ -59,6 +60,7 @@ def scd2_merge(
     *,
     arrival: str | None = None,
     row_id: str = "golden_zone_row_id",
+    store_changes: bool = True,
 ) -> MergeResult:
     """Apply ``batch`` (key, attributes, ``record_hash``) to ``history``.
 
@@ -68,6 +70,11 @@ def scd2_merge(
     the rows. With ``arrival`` a key may change several times in one batch and
     gets one version per change. Without it a key may repeat only with equal
     hashes; differing rows of one key have no order and are rejected.
+
+    The changes feed the new rows, the closed rows, the audit and the counts. They
+    are computed once and stored in the shared folder, which also makes them
+    survive a lost executor; ``store_changes=False`` keeps the merge fully lazy and
+    computes them again for each use.
     """
     when = _effective(effective)
     rejects = batch.filter(F.col(key).isNull()).withColumn(
@@ -76,10 +83,14 @@ def scd2_merge(
     keyed = batch.filter(F.col(key).isNotNull())
     current = history.filter("is_current")
     if arrival is None:
-        changes, counts, ambiguous = _single_changes(current, keyed, key, attributes, when)
+        changes, ambiguous = _single_changes(current, keyed, key, attributes, when)
         rejects = rejects.unionByName(ambiguous, allowMissingColumns=True)
     else:
-        changes, counts = _chained_changes(current, keyed, key, attributes, when, arrival)
+        changes = _chained_changes(current, keyed, key, attributes, when, arrival)
+    if store_changes:
+        path = shared_dir(batch.sparkSession, "scd2-changes")
+        changes.write.parquet(path)
+        changes = batch.sparkSession.read.schema(changes.schema).parquet(path)
     created = assign_ids(
         changes, [key, "version"], row_id, start_after=highest_id(history, row_id)
     )
@@ -111,7 +122,7 @@ def scd2_merge(
         created=created,
         expired=expired,
         replaced=replaced_all.withColumnRenamed("_closed_at", "closed_at"),
-        statuses=_status_counts(counts, rejects),
+        statuses=_status_counts(batch, changes, rejects),
         rejects=rejects,
     )
 
@@ -123,13 +134,16 @@ def _effective(effective: str | Column | None) -> Column:
     return value.cast("timestamp_ntz")
 
 
-def _status_counts(counts: DataFrame, rejects: DataFrame) -> DataFrame:
-    errors = rejects.agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit(ERROR).alias("status"), "rows"
-    )
+def _status_counts(batch: DataFrame, changes: DataFrame, rejects: DataFrame) -> DataFrame:
+    """Rows by status; what is neither a change nor rejected is a row without change."""
+    made = changes.groupBy("status").agg(F.count(F.lit(1)).alias("rows"))
+    refused = rejects.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(ERROR).alias("status"), "rows")
+    every = batch.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(NO_CHANGE).alias("status"), "rows")
+    judged = made.unionAll(refused)
+    taken = judged.select(F.lit(NO_CHANGE).alias("status"), (-F.col("rows")).alias("rows"))
     return (
-        counts.select("status", "rows")
-        .unionByName(errors)
+        judged.unionAll(every)
+        .unionAll(taken)
         .groupBy("status")
         .agg(F.sum("rows").alias("rows"))
         .filter(F.col("rows") > 0)
@@ -147,7 +161,7 @@ def _current_side(current: DataFrame, key: str) -> DataFrame:
 
 def _single_changes(
     current: DataFrame, keyed: DataFrame, key: str, attributes: Sequence[str], when: Column
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame]:
     """At most one change per key. Copies of a key are combined before the shuffle."""
     hash_or_blank = F.coalesce(F.col("record_hash"), F.lit(""))
     per_key = keyed.groupBy(key).agg(
@@ -180,12 +194,7 @@ def _single_changes(
         "status",
         F.lit(True).alias("_first"),
     )
-    # A repeated equal row finds its own first copy already applied.
-    repeats = judged.select(
-        F.lit(NO_CHANGE).alias("status"), (F.col("_copies") - 1).alias("rows")
-    )
-    counts = judged.select("status", F.lit(1).cast("long").alias("rows")).unionAll(repeats)
-    return changes, counts.groupBy("status").agg(F.sum("rows").alias("rows")), ambiguous
+    return changes, ambiguous
 
 
 def _chained_changes(
@@ -195,7 +204,7 @@ def _chained_changes(
     attributes: Sequence[str],
     when: Column,
     arrival: str,
-) -> tuple[DataFrame, DataFrame]:
+) -> DataFrame:
     """Every change of every key, in arrival order.
 
     A row is a change when its hash differs from the row before it. Windows run
@@ -253,7 +262,7 @@ def _chained_changes(
         .withColumn("_step", F.col("_earlier") + F.row_number().over(inside))
         .withColumn("_ends", F.coalesce(F.lead("_at").over(inside), F.col("_next_opens")))
     )
-    changes = placed.select(
+    return placed.select(
         key,
         *attributes,
         "record_hash",
@@ -266,11 +275,6 @@ def _chained_changes(
         .alias("status"),
         (F.col("_step") == 1).alias("_first"),
     )
-    unchanged = judged.agg(F.count_if(~F.col("_change")).alias("rows")).select(
-        F.lit(NO_CHANGE).alias("status"), "rows"
-    )
-    counts = changes.groupBy("status").agg(F.count(F.lit(1)).alias("rows")).unionByName(unchanged)
-    return changes, counts
 
 
 def history_violations(history: DataFrame, key: str) -> DataFrame:
