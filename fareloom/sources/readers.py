@@ -8,8 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from fareloom.sources.spec import SourceSpec
 
-# The zone file layout.
-ZONE_SCHEMA = "LocationID int, Borough string, Zone string, service_zone string"
+# The zone file layout (column, accepted headings, type).
+ZONE_COLUMNS = (
+    ("LocationID", ("LocationID", "location_id"), "int"),
+    ("Borough", ("Borough",), "string"),
+    ("Zone", ("Zone",), "string"),
+    ("service_zone", ("service_zone", "ServiceZone"), "string"),
+)
 RUN_SCHEMA = (
     "run_id string, job_name string, status string, started_at timestamp, completed_at timestamp, "
     "execution_seconds bigint"
@@ -45,15 +50,15 @@ def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
-def read_zone_csv(spark: SparkSession, path: str, schema: str = ZONE_SCHEMA) -> DataFrame:
-    """Zone file with a fixed schema whose names are checked against the header.
+def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Zone file as ``LocationID, Borough, Zone, service_zone``, under either heading style.
 
-    With header enforcement off Spark compares names instead of mapping by
-    position, so a swapped or renamed column is an error and not wrong data.
+    Columns are taken by heading, not by position, so a reordered file reads right
+    and one that lacks a column is an error.
     """
-    return (
-        spark.read.option("header", "true").option("enforceSchema", "false").schema(schema).csv(path)
-    )
+    raw = spark.read.option("header", "true").csv(path)
+    wanted = {name: (candidates, kind) for name, candidates, kind in ZONE_COLUMNS}
+    return pick_columns(raw, wanted)
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -82,15 +87,9 @@ def pick_columns(df: DataFrame, wanted: Mapping[str, tuple[Sequence[str], str]])
 
 def read_zone_seed(spark: SparkSession, path: str) -> DataFrame:
     """Zone file under either heading style, ordered by id."""
-    raw = spark.read.option("header", "true").csv(path)
-    return pick_columns(
-        raw,
-        {
-            "location_id": (("location_id", "LocationID"), "int"),
-            "borough": (("borough",), "string"),
-            "zone": (("zone",), "string"),
-            "service_zone": (("service_zone", "ServiceZone"), "string"),
-        },
+    zones = read_zone_csv(spark, path)
+    return zones.withColumnsRenamed(
+        {"LocationID": "location_id", "Borough": "borough", "Zone": "zone"}
     ).orderBy("location_id")
 
 
