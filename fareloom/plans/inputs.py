@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from fareloom.operators.clean import silver
 from fareloom.operators.matching import resolve_current
+from fareloom.operators.skew import hot_keys, lookup_join
 from fareloom.operators.star import Star, build_star
 from fareloom.sources.readers import read_table, spread_if_narrow
 
@@ -20,6 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+_HOT_KEYS: dict[tuple[str, str, str], list] = {}
+
+
+def table_hot_keys(spark: SparkSession, sf_dir: str, name: str, key: str) -> list:
+    """Hot keys of a table column, looked for once per table and program run."""
+    known = (sf_dir, name, key)
+    if known not in _HOT_KEYS:
+        _HOT_KEYS[known] = hot_keys(table(spark, sf_dir, name), key)
+    return _HOT_KEYS[known]
+
+
 def two_decimals(value: Column) -> Column:
     """Nearest hundredth, in plain double arithmetic."""
     return F.rint(value * 100) / F.lit(100.0)
@@ -54,17 +66,22 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         .drop("copy")
     )
     # Orders meet customers first: that shuffles orders, not order lines, on the customer key.
-    placed = (
+    orders = (
         spread_if_narrow(table(spark, sf_dir, "orders"), "o_orderkey")
         .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-        .join(
-            table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
-            F.col("o_custkey") == F.col("c_custkey"),
-        )
     )
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    joined = lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        suppliers, F.col("l_suppkey") == F.col("s_suppkey")
+    placed = lookup_join(
+        orders, customers, "o_custkey", "c_custkey", table_hot_keys(spark, sf_dir, "orders", "o_custkey")
+    )
+    bought = lookup_join(
+        lines, placed, "l_orderkey", "o_orderkey",
+        table_hot_keys(spark, sf_dir, "lineitem", "l_orderkey"),
+    )
+    joined = lookup_join(
+        bought, suppliers, "l_suppkey", "s_suppkey",
+        table_hot_keys(spark, sf_dir, "lineitem", "l_suppkey"),
     )
     absent = F.col("l_partkey") % 50 == 0
     return joined.select(
