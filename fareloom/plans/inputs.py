@@ -489,16 +489,19 @@ processed AS (
 
 def as_points(events: DataFrame) -> DataFrame:
     """Events as metric points of all four alarm metrics."""
-    point = lambda name, value: F.struct(F.lit(name).alias("metric"), value.alias("value"))
-    value = F.col("value")
-    entries = F.array(
-        point("compute_seconds", value * 5),
-        F.when(F.col("event_type") == "error", point("failed", F.lit(1.0))),
-        F.when(F.col("event_type") == "click", point("timed_out", F.lit(1.0))),
-        F.when(F.col("event_type").isin("purchase", "view"), point("duration_ms", value * 10000)),
+    def point(name: str, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("metric"), value.alias("value"))
+
+    value, kind = F.col("value"), F.col("event_type")
+    spent = point("compute_seconds", value * 5)
+    entries = (
+        F.when(kind == "error", F.array(spent, point("failed", F.lit(1.0))))
+        .when(kind == "click", F.array(spent, point("timed_out", F.lit(1.0))))
+        .when(kind.isin("purchase", "view"), F.array(spent, point("duration_ms", value * 10000)))
+        .otherwise(F.array(spent))
     )
     return events.select(
-        F.col("ts").cast("timestamp").alias("ts"), F.explode(F.array_compact(entries)).alias("p")
+        F.col("ts").cast("timestamp").alias("ts"), F.explode(entries).alias("p")
     ).select("ts", "p.metric", "p.value")
 
 

@@ -5,16 +5,53 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fareloom.operators.runs import ALARMS, Alarm, breaching, windowed_metric
+from fareloom.operators.runs import (
+    ALARMS, Alarm, breaching, seconds_of, total_value, windowed_metric,
+)
 
 
 def alarms(points: DataFrame, rules: Sequence[Alarm] = ALARMS) -> DataFrame:
-    """Breaching windows of all alarms over a static table of metric points."""
-    return reduce(
-        DataFrame.unionAll, [breaching(windowed_metric(points, rule), rule) for rule in rules]
+    """Breaching windows of all alarms over a static table of metric points.
+
+    Points are read and grouped once: each point is handed to the rules on its
+    metric, and the window length comes from the rule.
+    """
+    place = {rule: F.lit(number) for number, rule in enumerate(rules)}
+    wanted = reduce(
+        lambda expr, metric: expr.when(
+            F.col("metric") == metric, F.array(*[place[r] for r in rules if r.metric == metric])
+        ),
+        dict.fromkeys(r.metric for r in rules),
+        F,
+    )
+
+    def by_rule(value) -> Column:
+        return F.element_at(F.array(*[F.lit(value(r)) for r in rules]), F.col("rule") + 1)
+
+    period = by_rule(lambda r: seconds_of(r) * 1_000_000)
+    grouped = (
+        points.withColumn("rule", F.explode(wanted))
+        .withColumn("_start", F.floor(F.unix_micros("ts") / period) * period)
+        .groupBy("rule", "_start")
+        .agg(total_value("value").alias("_sum"), F.max("value").alias("_max"))
+    )
+    value = F.when(by_rule(lambda r: r.statistic == "sum"), F.col("_sum")).otherwise(F.col("_max"))
+    limit = by_rule(lambda r: float(r.threshold))
+    over = F.when(by_rule(lambda r: r.inclusive), F.col("value") >= limit).otherwise(
+        F.col("value") > limit
+    )
+
+    def moment(micros: Column) -> Column:
+        return F.timestamp_micros(micros).cast("timestamp_ntz")
+
+    return grouped.withColumn("value", value).filter(over).select(
+        by_rule(lambda r: r.name).alias("alarm"),
+        moment(F.col("_start")).alias("window_start"),
+        moment(F.col("_start") + period).alias("window_end"),
+        "value",
     )
 
 
