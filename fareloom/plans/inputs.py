@@ -1,7 +1,8 @@
 """Trips, zones, vendors and runs derived from the driver's tables.
 
 Each input exists twice: as a DataFrame and as SQL text for the comparison
-engine. Both state the same definition.
+engine. Both state the same definition. Every input covers the whole table; the
+modulo conditions only decide which rows carry a change, a fault or a repeat.
 """
 
 from __future__ import annotations

@@ -33,4 +33,14 @@ def test_two_column_query_reads_few_columns(spark, sf_dir):
 
 def test_star_counts_sum_before_the_calendar_join(spark, sf_dir):
     plan = plan_of(QUERIES["star_daily"](spark, sf_dir))
-    assert plan.index("HashAggregate") < plan.index("BroadcastHashJoin") or "partial_count" in plan
+    # The plan is printed from the top: the count by date key lies below the join.
+    assert plan.index("BroadcastHashJoin") < plan.index("HashAggregate(keys=[date_key")
+
+
+def test_one_partition_folder_is_read(spark, sf_dir):
+    plan = plan_of(QUERIES["partitioned_layout"](spark, sf_dir))
+    assert "PartitionFilters: [isnotnull(event_type" in plan
+
+
+def test_alarms_read_the_points_once(spark, sf_dir):
+    assert plan_of(QUERIES["alarm_windows"](spark, sf_dir)).count("FileScan") == 1
