@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ SPACE = "[\\x20\\x09-\\x0D]"
 HOT_SHARE = 256
 
 
+def by_value(module: str) -> None:
+    """Functions of the module travel to the executors whole, so those need not have this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import chat_format, quality_rules, secret_scan, sharding
+from fareloom.llm import chat_format, piece_tokens, quality_rules, secret_scan, sharding, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name -> (spark, sf_dir) -> DataFrame."""
     found = (
         secret_scan.op2_secret_scan,
+        warc.op3_warc_revisits,
+        piece_tokens.op4_sentencepiece,
+        simhash.op5_simhash,
         sharding.op6_sharding,
         chat_format.op7_chat_format,
         quality_rules.op9_quality_rules,
@@ -24,6 +27,7 @@ def oracle_sql() -> dict[str, str]:
     """DuckDB SQL where SQL can express a query."""
     return {
         "op2_secret_scan": secret_scan.oracle_sql(),
+        "op3_warc_revisits": warc.oracle_sql(),
         "op7_chat_format": chat_format.oracle_sql(),
         "op9_quality_rules": quality_rules.oracle_sql(),
     }
