@@ -6,18 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import chat_format, piece_tokens, quality_rules, secret_scan, sharding, simhash, warc
+from fareloom.llm import chat_format, decontamination, piece_tokens, quality_model, quality_rules, secret_scan, sharding, simhash, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name -> (spark, sf_dir) -> DataFrame."""
     found = (
+        decontamination.op1_decontamination,
         secret_scan.op2_secret_scan,
         warc.op3_warc_revisits,
         piece_tokens.op4_sentencepiece,
         simhash.op5_simhash,
         sharding.op6_sharding,
         chat_format.op7_chat_format,
+        quality_model.op8_quality_model,
         quality_rules.op9_quality_rules,
     )
     return {f.__name__: f for f in found}
