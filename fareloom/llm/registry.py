@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import chat_format, decontamination, piece_tokens, quality_model, quality_rules, secret_scan, sharding, simhash, warc
+from fareloom.llm import chat_format, decontamination, piece_tokens, quality_model, quality_rules, secret_scan, sharding, simhash, suffix_dedup, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         chat_format.op7_chat_format,
         quality_model.op8_quality_model,
         quality_rules.op9_quality_rules,
+        suffix_dedup.op10_suffix_dedup,
     )
     return {f.__name__: f for f in found}
 
