@@ -177,13 +177,16 @@ def anchors(docs: DataFrame) -> DataFrame:
 def transform_of(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffix order to LENGTH bytes of a shard, and its transform: the symbol before each suffix in that order.
 
-    symbols[i] stands for the STRIDE bytes from i on.
+    symbols[i] is a number for the STRIDE bytes from i on. Ranks of STRIDE bytes give those of twice as many, and so on.
     """
     n = len(symbols)
-    order = np.arange(n)
-    for _ in range(LENGTH // STRIDE):
-        order = (order - STRIDE) % n
-        order = order[np.argsort(symbols[order], kind="stable")]
+    rank, reach = symbols, STRIDE
+    while reach < LENGTH:
+        key = rank * (int(rank.max()) + 1) + np.roll(rank, -reach)
+        order = np.argsort(key)
+        rank = np.empty(n, np.int64)
+        rank[order] = np.concatenate([[0], np.cumsum(key[order[1:]] != key[order[:-1]])])
+        reach *= 2
     return order, symbols[(order - STRIDE) % n]
 
 
@@ -192,13 +195,14 @@ def merged_intervals(transforms: list[np.ndarray]) -> tuple[np.ndarray, np.ndarr
 
     An interval is a maximal run of suffixes whose common prefix is LENGTH bytes or more.
     """
-    source = np.repeat(np.arange(len(transforms)), [len(t) for t in transforms])
+    source = np.repeat(np.arange(len(transforms), dtype=np.int32), [len(t) for t in transforms])
     interval = np.zeros(len(source), np.int64)
+    place = np.arange(len(source))
     for _ in range(LENGTH // STRIDE):
-        symbol = np.empty(len(source), np.uint64)
+        symbol = np.empty(len(source), np.int64)
         for shard, transform in enumerate(transforms):
             symbol[source == shard] = transform  # a shard's suffixes keep their order in any interleave
-        order = np.argsort(symbol, kind="stable")
+        order = np.argsort(symbol * len(source) + place)  # by symbol, and stable
         source, symbol, interval = source[order], symbol[order], interval[order]
         parts = (symbol[1:] != symbol[:-1]) | (interval[1:] != interval[:-1])  # the common prefix ends here
         interval = np.concatenate([[0], np.cumsum(parts)])
@@ -210,25 +214,27 @@ def repeated_windows(texts: list[bytes], classes: np.ndarray) -> np.ndarray:
 
     classes: a number for each byte; only bytes of equal numbers are held against each other.
     """
-    shards, cuts, held = [], [0], 0
+    shards, held = [], 0
     for k, text in enumerate(texts):
         held += len(text)
         if held >= SHARD or k == len(texts) - 1:
             shards.append(held)
-            cuts.append(k + 1)
             held = 0
     ends = np.cumsum(shards)
+    total = int(ends[-1])
+    sizes = np.array([len(t) for t in texts])
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(total)
+    symbols = np.arange(total, dtype=np.uint64)  # unique: across a text's end no two are alike
+    if total >= STRIDE:
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        hashed = RollingHash(data).of(slice(0, total - STRIDE + 1), slice(STRIDE, total + 1)) | np.uint64(1 << 63)
+        inside = np.flatnonzero(left[: len(hashed)] >= STRIDE)
+        symbols[inside] = hashed[inside]
+    # One numbering of the symbols for all shards keeps them small.
+    symbols = np.unique(symbols, return_inverse=True)[1].ravel()
     orders, transforms = [], []
-    for (lo, hi), end, size in zip(zip(cuts, cuts[1:], strict=False), ends, shards, strict=True):
-        own = texts[lo:hi]
-        data = np.frombuffer(b"".join(own), np.uint8)
-        sizes = np.array([len(t) for t in own])
-        symbols = np.arange(size, dtype=np.uint64) + np.uint64(end - size)  # unique: no hash of a text looks like it
-        if size >= STRIDE:
-            hashed = RollingHash(data).of(slice(0, size - STRIDE + 1), slice(STRIDE, size + 1)) | np.uint64(1 << 63)
-            inside = np.repeat(np.cumsum(sizes), sizes)[: size - STRIDE + 1] - np.arange(size - STRIDE + 1) >= STRIDE
-            symbols[: size - STRIDE + 1][inside] = hashed[inside]
-        order, transform = transform_of(symbols)
+    for end, size in zip(ends, shards, strict=True):
+        order, transform = transform_of(symbols[end - size : end])
         orders.append(order + (end - size))
         transforms.append(transform)
     source, interval = merged_intervals(transforms)
@@ -236,8 +242,6 @@ def repeated_windows(texts: list[bytes], classes: np.ndarray) -> np.ndarray:
     for shard, order in enumerate(orders):
         place[source == shard] = order
     # Only intervals of several suffixes matter, and of those only windows that end in their own text.
-    sizes = np.array([len(t) for t in texts])
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(classes))
     several = np.flatnonzero((np.bincount(interval)[interval] > 1) & (left[place] >= LENGTH))
     place, interval = place[several], interval[several]
     order = np.lexsort((classes[place], interval))
