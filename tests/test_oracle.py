@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 import oracle
+from fareloom.plans import registry
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
