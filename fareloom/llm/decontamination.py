@@ -95,11 +95,11 @@ def postings(items: DataFrame) -> DataFrame:
         "segment-terms",
     )
     sizes = raw.select("item", "segment", "length").distinct()
-    whole = sizes.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"))
+    whole = sizes.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean")).first()
     counts = raw.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    gain = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean")))
-    scored = raw.join(counts, "term").join(F.broadcast(whole)).withColumn("gain", idf * gain)  # one row
+    idf = F.log(1 + (whole["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    gain = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / (whole["mean"] or 1.0)))
+    scored = raw.join(counts, "term").withColumn("gain", idf * gain)
     own = scored.groupBy("item", "segment").agg(F.sum("gain").alias("own"))
     return scored.join(own, ["item", "segment"]).select("item", "segment", "term", (F.col("gain") / F.col("own")).alias("weight"))
 

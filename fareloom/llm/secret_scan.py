@@ -163,7 +163,7 @@ def scan_versions(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RU
         )
         .select("blob", F.transform("findings", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).alias("findings"))
     )
-    counted = found.join(blobs.select("blob", "copies"), "blob")
+    counted = stored(found.join(blobs.select("blob", "copies"), "blob"), "findings")
     joined = join_counted(ids, counted, "blob", "copies")
     return joined.withColumn("findings", F.coalesce("findings", F.array().cast("array<struct<kind:string,start:int,end:int>>")))
 

@@ -67,7 +67,7 @@ def rebalanced(slot_map: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
     before = W.partitionBy("shard").orderBy(F.desc("bytes"), "vslot").rowsBetween(W.unboundedPreceding, 0)
     fair = F.sum("bytes").over(W.partitionBy()) / shards
     ranked = known.withColumn("fair", fair).withColumn("upto", F.sum("bytes").over(before))
-    ranked = ranked.withColumn("stays", (F.col("shard") < shards) & (F.col("upto") <= F.col("fair") * KEEP_SHARE))
+    ranked = ranked.withColumn("stays", (F.col("shard") < shards) & ((F.col("upto") <= F.col("fair") * KEEP_SHARE) | (F.col("bytes") == 0)))
     one = ranked.agg(
         F.max("map_version").alias("map_version"),
         F.collect_list(F.when(F.col("stays"), F.struct("shard", "bytes"))).alias("kept"),

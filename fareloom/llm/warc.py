@@ -74,7 +74,7 @@ def records(pages: DataFrame) -> DataFrame:
     """One row for each page: its fresh headers' values, and the payload where it is a response."""
     heads = stored(headers(pages), "headers")
     found = originals(heads)
-    repeated = found.filter("copies > 1")
+    repeated = stored(found.filter("copies > 1"), "repeated-payloads")
     # Only pages whose payload is repeated and that are not the first need a decision; ids may be repeated too.
     marked = join_counted(heads, repeated, "digest", "copies", "inner").groupBy("digest", "original", "page_id").agg(
         F.count(F.lit(1)).alias("rows")
@@ -199,7 +199,7 @@ def resolved(recs: DataFrame) -> DataFrame:
     responses = heads.filter("record_type = 'response'").select("payload_digest", F.col("page_id").alias("at"), F.col("payload_bytes").alias("size"))
     revisits = heads.filter("record_type = 'revisit'")
     counted = revisits.groupBy("payload_digest").agg(F.count(F.lit(1)).alias("copies"))
-    known = responses.join(counted, "payload_digest")
+    known = stored(responses.join(counted, "payload_digest"), "revisited")
     found = join_counted(revisits, known, "payload_digest", "copies")
     return heads.filter("record_type = 'response'").unionByName(
         found.select("page_id", "url", "record_type", "payload_digest", F.col("size").alias("payload_bytes"), F.col("at").alias("refers_to"), "archive")
