@@ -80,23 +80,22 @@ def records(pages: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows")
     )
     decided = marked.filter("rows > 1 OR page_id <> original OR page_id IS NULL").select(
-        F.col("digest").alias("d"), F.col("page_id").alias("p"), "original", (F.col("rows") > 1).alias("tied")
+        F.xxhash64("digest", "page_id").alias("k"), F.col("digest").alias("d"), F.col("page_id").alias("p"), "original"
     )
     html = F.coalesce("html", F.lit(""))
     digest = base32_sha1(F.encode(html, "UTF-8"))
     full = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), html.alias("payload"), digest.alias("digest")
-    )
+    ).withColumn("k", F.xxhash64("digest", "page_id"))
     joined = full.join(
-        decided.hint("shuffle_hash"), (F.col("digest") == F.col("d")) & F.col("page_id").eqNullSafe(F.col("p")), "left"
+        decided.withColumnRenamed("k", "dk").hint("shuffle_hash"),
+        (F.col("k") == F.col("dk")) & (F.col("digest") == F.col("d")) & F.col("page_id").eqNullSafe(F.col("p")),
+        "left",
     )
-    is_copy = F.col("d").isNotNull() & ~(F.col("tied") & F.col("page_id").eqNullSafe(F.col("original")))
-    once = joined.filter(F.col("d").isNull() | is_copy).withColumn("copy", is_copy)
-    # Rows that share even the id of a response: the first of them is the response.
-    tied = joined.filter(F.col("d").isNotNull() & ~is_copy)
-    turn = F.row_number().over(W.partitionBy("digest", "page_id").orderBy("url"))
-    tied = tied.withColumn("copy", turn > 1)
-    return once.unionByName(tied).select(
+    # Of rows that share even the response's id the first is the response.
+    turn = F.row_number().over(W.partitionBy("k", "digest", "page_id").orderBy("url"))
+    is_copy = F.col("d").isNotNull() & (~F.col("page_id").eqNullSafe(F.col("original")) | (turn > 1))
+    return joined.withColumn("copy", is_copy).select(
         "page_id",
         "url",
         "digest",
