@@ -80,21 +80,17 @@ def records(pages: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows")
     )
     decided = marked.filter("rows > 1 OR page_id <> original OR page_id IS NULL").select(
-        F.xxhash64("digest", "page_id").alias("k"), F.col("digest").alias("d"), F.col("page_id").alias("p"), "original"
+        F.concat_ws(":", "digest", "page_id").alias("k"), "original", F.lit(True).alias("repeated")
     )
     html = F.coalesce("html", F.lit(""))
     digest = base32_sha1(F.encode(html, "UTF-8"))
     full = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), html.alias("payload"), digest.alias("digest")
-    ).withColumn("k", F.xxhash64("digest", "page_id"))
-    joined = full.join(
-        decided.withColumnRenamed("k", "dk").hint("shuffle_hash"),
-        (F.col("k") == F.col("dk")) & (F.col("digest") == F.col("d")) & F.col("page_id").eqNullSafe(F.col("p")),
-        "left",
-    )
+    ).withColumn("k", F.concat_ws(":", "digest", "page_id"))
+    joined = full.join(decided.hint("shuffle_hash"), "k", "left")
     # Of rows that share even the response's id the first is the response.
-    turn = F.row_number().over(W.partitionBy("k", "digest", "page_id").orderBy("url"))
-    is_copy = F.col("d").isNotNull() & (~F.col("page_id").eqNullSafe(F.col("original")) | (turn > 1))
+    turn = F.row_number().over(W.partitionBy("k").orderBy("url"))
+    is_copy = F.col("repeated").isNotNull() & (~F.col("page_id").eqNullSafe(F.col("original")) | (turn > 1))
     return joined.withColumn("copy", is_copy).select(
         "page_id",
         "url",
