@@ -41,9 +41,16 @@ def unpivot(one_row: DataFrame, label: str, value: str) -> DataFrame:
 
 
 def missing_values(df: DataFrame) -> DataFrame:
-    """Missing count and percentage of every column that has any, most first."""
+    """Missing count and percentage of every column that has any, most first; NaN is missing too."""
+
+    kinds = dict(df.dtypes)
+
+    def missing(name: str, kind: str) -> Column:
+        absent = F.col(f"`{name}`").isNull()
+        return absent | F.isnan(f"`{name}`") if kind in ("double", "float") else absent
+
     counts = df.agg(
-        *[F.struct(F.count_if(F.col(f"`{c}`").isNull()).alias("missing"),
+        *[F.struct(F.count_if(missing(c, kinds[c])).alias("missing"),
                    F.count(F.lit(1)).alias("n")).alias(c) for c in df.columns]
     )
     return (

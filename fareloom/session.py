@@ -42,10 +42,12 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the cluster's ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a test) gets a local temporary folder.
+    Only a local session, whose executors are the driver's own threads, may do without that setting.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="fareloom-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
