@@ -41,10 +41,10 @@ LENGTH = 200
 GRAM = 32
 STRIDE = 50
 LEFT = LENGTH - GRAM
-#: Bytes of texts in one vectorised step; longer texts are cut into pieces of this.
-PIECE = 2_000_000
+#: Bytes of texts in one vectorised step, few enough for a processor's cache; longer texts are cut into pieces of this.
+PIECE = 131_072
 #: Bytes of contexts that are merged at once (an anchor's stay together), and in one shard.
-CHUNK, SHARD = 1_200_000, 300_000
+CHUNK, SHARD = 300_000, 100_000
 #: Words of 64 bits in the bitmap.
 BITMAP = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
@@ -214,22 +214,56 @@ def repeated_windows(texts: list[bytes], classes: np.ndarray) -> np.ndarray:
 
     classes: a number for each byte; only bytes of equal numbers are held against each other.
     """
-    shards, held = [], 0
-    for k, text in enumerate(texts):
-        held += len(text)
-        if held >= SHARD or k == len(texts) - 1:
-            shards.append(held)
-            held = 0
-    ends = np.cumsum(shards)
-    total = int(ends[-1])
     sizes = np.array([len(t) for t in texts])
+    total = int(sizes.sum())
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(total)
     symbols = np.arange(total, dtype=np.uint64)  # unique: across a text's end no two are alike
     if total >= STRIDE:
         data = np.frombuffer(b"".join(texts), np.uint8)
-        hashed = RollingHash(data).of(slice(0, total - STRIDE + 1), slice(STRIDE, total + 1)) | np.uint64(1 << 63)
+        hashed = RollingHash(data).of(slice(0, total - STRIDE + 1), slice(STRIDE, total + 1))
+        # With the class in its symbols a window is like windows of its own class only.
+        hashed += classes[: len(hashed)].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        hashed ^= hashed >> np.uint64(32)
+        hashed |= np.uint64(1 << 63)
         inside = np.flatnonzero(left[: len(hashed)] >= STRIDE)
         symbols[inside] = hashed[inside]
+    hopeful = np.repeat(may_repeat(symbols, left, sizes), sizes)
+    out = np.zeros(total, bool)
+    if hopeful.any():
+        at = np.flatnonzero(hopeful)
+        out[at] = merged_windows(symbols[at], left[at])
+    return out
+
+
+def may_repeat(symbols: np.ndarray, left: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each text whether it has a window all of whose symbols may stand elsewhere too.
+
+    Symbols are counted by some of their bits, so a count may be too high but never too low: no repeated window is lost.
+    """
+    bits = max(12, int(len(symbols)).bit_length() + 2)
+    short = (symbols & np.uint64((1 << bits) - 1)).astype(np.int64)
+    again = np.bincount(short, minlength=1 << bits)[short] > 1
+    whole = left >= LENGTH
+    for step in range(0, LENGTH, STRIDE):
+        whole[: len(whole) - step] &= again[step:]
+    sums = np.concatenate([[0], np.cumsum(whole)])
+    ends = np.cumsum(sizes)
+    return sums[ends] > sums[ends - sizes]
+
+
+def merged_windows(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """For each place whether the LENGTH bytes from there on also start at another place.
+
+    left: bytes up to the end of the place's text; whole texts, one after the other.
+    """
+    total = len(symbols)
+    text_ends = np.flatnonzero(left == 1) + 1
+    ends, last = [], 0
+    for end in text_ends.tolist():
+        if end - last >= SHARD or end == total:
+            ends.append(end)
+            last = end
+    shards = np.diff([0, *ends])
     # One numbering of the symbols for all shards keeps them small.
     symbols = np.unique(symbols, return_inverse=True)[1].ravel()
     orders, transforms = [], []
@@ -242,14 +276,9 @@ def repeated_windows(texts: list[bytes], classes: np.ndarray) -> np.ndarray:
     for shard, order in enumerate(orders):
         place[source == shard] = order
     # Only intervals of several suffixes matter, and of those only windows that end in their own text.
-    several = np.flatnonzero((np.bincount(interval)[interval] > 1) & (left[place] >= LENGTH))
-    place, interval = place[several], interval[several]
-    order = np.lexsort((classes[place], interval))
-    place, interval, kind = place[order], interval[order], classes[place[order]]
-    same = (interval[1:] == interval[:-1]) & (kind[1:] == kind[:-1])
-    out = np.zeros(len(classes), bool)
-    out[place[1:][same]] = True
-    out[place[:-1][same]] = True
+    several = (np.bincount(interval)[interval] > 1) & (left[place] >= LENGTH)
+    out = np.zeros(total, bool)
+    out[place[several]] = True
     return out
 
 
