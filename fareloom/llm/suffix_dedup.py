@@ -45,6 +45,8 @@ LEFT = LENGTH - GRAM
 PIECE = 131_072
 #: Bytes of contexts that are merged at once (an anchor's stay together), and in one shard.
 CHUNK, SHARD = 300_000, 100_000
+#: Symbols that are counted at once.
+COUNTED = 1_000_000
 #: Words of 64 bits in the bitmap.
 BITMAP = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
@@ -195,13 +197,14 @@ def merged_intervals(transforms: list[np.ndarray]) -> tuple[np.ndarray, np.ndarr
 
     An interval is a maximal run of suffixes whose common prefix is LENGTH bytes or more.
     """
-    source = np.repeat(np.arange(len(transforms), dtype=np.int32), [len(t) for t in transforms])
+    kind = np.uint16 if len(transforms) < 1 << 16 else np.int64  # short numbers are sorted by their digits
+    source = np.repeat(np.arange(len(transforms), dtype=kind), [len(t) for t in transforms])
+    handed_out = np.concatenate(transforms)
     interval = np.zeros(len(source), np.int64)
     place = np.arange(len(source))
     for _ in range(LENGTH // STRIDE):
         symbol = np.empty(len(source), np.int64)
-        for shard, transform in enumerate(transforms):
-            symbol[source == shard] = transform  # a shard's suffixes keep their order in any interleave
+        symbol[np.argsort(source, kind="stable")] = handed_out  # a shard's suffixes keep their order in any interleave
         order = np.argsort(symbol * len(source) + place)  # by symbol, and stable
         source, symbol, interval = source[order], symbol[order], interval[order]
         parts = (symbol[1:] != symbol[:-1]) | (interval[1:] != interval[:-1])  # the common prefix ends here
@@ -209,46 +212,84 @@ def merged_intervals(transforms: list[np.ndarray]) -> tuple[np.ndarray, np.ndarr
     return source, interval
 
 
-def repeated_windows(texts: list[bytes], classes: np.ndarray) -> np.ndarray:
+def repeated_windows(texts: list[bytes], groups: np.ndarray, leads: np.ndarray) -> np.ndarray:
     """For each byte of the joined texts whether the window that starts there also starts in another text of its class.
 
-    classes: a number for each byte; only bytes of equal numbers are held against each other.
+    groups, leads: a number for each text, and where its anchor stands. Windows are alike only in texts of one group and
+    at one place relative to the anchor; both go into the symbols.
     """
     sizes = np.array([len(t) for t in texts])
+    starts = np.cumsum(sizes) - sizes
     total = int(sizes.sum())
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(total)
     symbols = np.arange(total, dtype=np.uint64)  # unique: across a text's end no two are alike
-    if total >= STRIDE:
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        hashed = RollingHash(data).of(slice(0, total - STRIDE + 1), slice(STRIDE, total + 1))
-        # With the class in its symbols a window is like windows of its own class only.
-        hashed += classes[: len(hashed)].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        hashed ^= hashed >> np.uint64(32)
-        hashed |= np.uint64(1 << 63)
-        inside = np.flatnonzero(left[: len(hashed)] >= STRIDE)
-        symbols[inside] = hashed[inside]
-    hopeful = np.repeat(may_repeat(symbols, left, sizes), sizes)
+    left = np.empty(total, np.int32)
+    block = 0
+    while block < len(texts):  # some texts at a time: the hashes of all would be many times the texts
+        stop = max(block + 1, int(np.searchsorted(starts, starts[block] + PIECE)))
+        size, first = sizes[block:stop], int(starts[block])
+        data = np.frombuffer(b"".join(texts[block:stop]), np.uint8)
+        n = len(data)
+        at = np.arange(n) - np.repeat(starts[block:stop] - first, size)
+        left[first : first + n] = np.repeat(size, size) - at
+        if n >= STRIDE:
+            hashed = RollingHash(data).of(slice(0, n - STRIDE + 1), slice(STRIDE, n + 1))
+            kind = np.repeat(groups[block:stop] * (4 * LENGTH) + LENGTH - leads[block:stop], size) + at
+            hashed += kind[: len(hashed)].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            hashed ^= hashed >> np.uint64(32)
+            hashed |= np.uint64(1 << 63)
+            inside = np.flatnonzero(left[first : first + len(hashed)] >= STRIDE)
+            symbols[inside + first] = hashed[inside]
+        block = stop
+    hopeful = np.flatnonzero(may_repeat(symbols, left))
     out = np.zeros(total, bool)
-    if hopeful.any():
-        at = np.flatnonzero(hopeful)
-        out[at] = merged_windows(symbols[at], left[at])
+    if not len(hopeful):
+        return out
+    # Runs of windows next to each other. Of equal runs one is merged; if there are several, all their windows repeat.
+    breaks = np.flatnonzero(np.diff(hopeful) > 1)
+    first = hopeful[np.concatenate([[0], breaks + 1])]
+    count = hopeful[np.concatenate([breaks, [len(hopeful) - 1]])] - first + 1
+    joined = b"".join(texts)
+    numbers: dict[tuple[int, bytes], int] = {}
+    spans = zip(symbols[first].tolist(), first.tolist(), (first + count + LENGTH - 1).tolist(), strict=True)
+    number = np.array([numbers.setdefault((symbol, joined[lo:hi]), len(numbers)) for symbol, lo, hi in spans])
+    _, kept, copies = np.unique(number, return_index=True, return_counts=True)
+    size = count[kept] + LENGTH - 1
+    base = np.cumsum(size) - size
+    at = np.arange(size.sum()) - np.repeat(base, size)
+    left = np.repeat(size, size) - at
+    mine = symbols[at + np.repeat(first[kept], size)]
+    ends = np.flatnonzero(left < STRIDE)
+    mine[ends] = ends  # unique once more
+    del symbols
+    twice = merged_windows(mine, left) if len(kept) > 1 else np.zeros(len(mine), bool)
+    twice |= np.repeat(copies > 1, size)
+    at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    out[hopeful] = twice[at + np.repeat(base[number], count)]
     return out
 
 
-def may_repeat(symbols: np.ndarray, left: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """For each text whether it has a window all of whose symbols may stand elsewhere too.
+def may_repeat(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """For each place whether all symbols of the window from there on stand elsewhere too: no repeated window is lost.
 
-    Symbols are counted by some of their bits, so a count may be too high but never too low: no repeated window is lost.
+    Counts by some of the bits settle most symbols; the others are counted exactly. Of many symbols one share after
+    the other is counted, so that the counters keep their size.
     """
-    bits = max(12, int(len(symbols)).bit_length() + 2)
-    short = (symbols & np.uint64((1 << bits) - 1)).astype(np.int64)
-    again = np.bincount(short, minlength=1 << bits)[short] > 1
+    shares = -(-len(symbols) // COUNTED)
+    again = np.zeros(len(symbols), bool)
+    for share in range(shares):
+        mine = slice(None) if shares == 1 else np.flatnonzero(symbols % np.uint64(shares) == share)
+        some = symbols[mine] // np.uint64(shares)
+        bits = max(12, len(some).bit_length() + 2)
+        short = (some & np.uint64((1 << bits) - 1)).astype(np.int64)
+        twice = np.flatnonzero(np.bincount(short, minlength=1 << bits)[short] > 1)
+        _, back, count = np.unique(some[twice], return_inverse=True, return_counts=True)
+        found = np.zeros(len(some), bool)
+        found[twice] = count[back.ravel()] > 1
+        again[mine] = found
     whole = left >= LENGTH
     for step in range(0, LENGTH, STRIDE):
         whole[: len(whole) - step] &= again[step:]
-    sums = np.concatenate([[0], np.cumsum(whole)])
-    ends = np.cumsum(sizes)
-    return sums[ends] > sums[ends - sizes]
+    return whole
 
 
 def merged_windows(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -273,8 +314,7 @@ def merged_windows(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
         transforms.append(transform)
     source, interval = merged_intervals(transforms)
     place = np.empty(len(source), np.int64)
-    for shard, order in enumerate(orders):
-        place[source == shard] = order
+    place[np.argsort(source, kind="stable")] = np.concatenate(orders)
     # Only intervals of several suffixes matter, and of those only windows that end in their own text.
     several = (np.bincount(interval)[interval] > 1) & (left[place] >= LENGTH)
     out = np.zeros(total, bool)
@@ -299,10 +339,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(t) for t in texts])
         starts = np.cumsum(sizes) - sizes
         _, group = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)
-        lead = np.array([r[2] for r in rows])
-        # The class of a byte is its anchor and its place relative to it.
-        relative = np.arange(sizes.sum()) - np.repeat(starts + lead, sizes) + LENGTH
-        twice = repeated_windows(texts, np.repeat(group.ravel(), sizes) * (4 * LENGTH) + relative)
+        twice = repeated_windows(texts, group.ravel(), np.array([r[2] for r in rows]))
         found: dict[str, list] = {"anchor": [], "context": [], "spans": []}
         for row, start, size in zip(rows, starts, sizes, strict=True):
             at = np.flatnonzero(twice[start : start + size])
