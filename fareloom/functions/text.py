@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -45,6 +45,8 @@ def sha256_hash(key: str, attributes: Sequence[str]) -> Column:
     return F.sha2(canonical(key, attributes, fold_case=True), 256)
 
 
-def row_json(columns: Sequence[str]) -> Column:
-    """The named columns as one JSON object; NULL fields are left out."""
-    return F.to_json(F.struct(*[F.col(c) for c in columns]))
+def row_json(columns: Sequence[str], values: Mapping[str, Column] | None = None) -> Column:
+    """The named columns as one JSON object; NULL fields are kept. ``values`` replaces some columns' values."""
+    given = values or {}
+    fields = [given.get(c, F.col(c)).alias(c) for c in columns]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})

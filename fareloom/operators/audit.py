@@ -17,26 +17,33 @@ AUDIT_COLUMNS = (
 def audit_rows(
     merge: MergeResult, key: str, table: str, changed_by: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """One UPDATE record per expired row and one INSERT record per new row.
+    """One INSERT record per new version and one UPDATE record per version that a later one closed.
 
-    ``record_id`` is the business key. ``columns`` limits the JSON to some columns.
+    A version that the same batch opens and closes has both. ``record_id`` is the business key. ``columns`` limits the
+    JSON to some columns.
     """
     names = list(columns or [c for c in merge.replaced.columns if c != "closed_at"])
-    # The closed row differs from the old one in two columns only, so no join is needed.
+    # A version's open and closed state differ in two columns only, so no join is needed.
+    was_open = {"is_current": F.lit(True), "end_date": F.lit(None).cast("timestamp_ntz")}
     closed = {"is_current": F.lit(False), "end_date": F.col("closed_at")}
-    updates = merge.replaced.select(
-        key,
-        F.lit("UPDATE").alias("operation"),
-        F.col("closed_at").alias("_at"),
-        row_json(names).alias("_old"),
-        F.to_json(F.struct(*[closed.get(c, F.col(c)).alias(c) for c in names])).alias("_new"),
-    )
+
+    def updates_of(versions: DataFrame) -> DataFrame:
+        return versions.select(
+            key,
+            F.lit("UPDATE").alias("operation"),
+            F.col("closed_at").alias("_at"),
+            row_json(names, was_open).alias("_old"),
+            row_json(names, closed).alias("_new"),
+        )
+
+    superseded = merge.created.filter(F.col("end_date").isNotNull()).withColumn("closed_at", F.col("end_date"))
+    updates = updates_of(merge.replaced).unionAll(updates_of(superseded))
     inserts = merge.created.select(
         key,
         F.lit("INSERT").alias("operation"),
         F.col("effective_date").alias("_at"),
         F.lit(None).cast("string").alias("_old"),
-        row_json(names).alias("_new"),
+        row_json(names, was_open).alias("_new"),
     )
     return updates.unionAll(inserts).select(
         F.lit(table).alias("table_name"),

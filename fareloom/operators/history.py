@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from fareloom.operators.dedupe import semi_join_counted
 from fareloom.operators.keys import assign_ids, highest_id
 from fareloom.session import shared_dir
 
@@ -171,11 +172,9 @@ def _single_changes(
         F.min(F.struct("record_hash", *attributes)).alias("_row"),
     )
     clear = per_key.filter(F.col("_low") == F.col("_high")).select(key, "_copies", "_row.*")
-    ambiguous = (
-        per_key.filter(F.col("_low") != F.col("_high"))
-        .select(key, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_n"), "_row.*")
-        .drop("_n")
-        .withColumn("reason", F.lit("several differing rows for one key and no arrival order"))
+    unclear = per_key.filter(F.col("_low") != F.col("_high")).select(key, "_copies")
+    ambiguous = semi_join_counted(keyed, unclear, [key]).withColumn(
+        "reason", F.lit("several differing rows for one key and no arrival order")
     )
     judged = clear.join(_current_side(current, key), key, "left").withColumn(
         "status",

@@ -44,17 +44,32 @@ def scd1_merge(
     return kept.unionByName(checked, allowMissingColumns=True).select(*target.columns)
 
 
-def new_rows(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Batch rows whose key the target lacks; a key repeated in the batch enters once."""
+def new_rows(
+    target: DataFrame, batch: DataFrame, key: Sequence[str], arrival: str | None = None
+) -> DataFrame:
+    """Batch rows whose key the target lacks; a key repeated in the batch enters once.
+
+    ``arrival`` is a column giving the order of deliveries: the first one enters.
+    Without it, or between equal arrivals, the smallest row does.
+    """
     key = list(key)
-    rest = [c for c in batch.columns if c not in key]
+    first = [arrival] if arrival else []
+    rest = first + [c for c in batch.columns if c not in key and c not in first]
     once = batch.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_row")).select(*key, "_row.*")
     return once.join(target.select(*key), key, "left_anti").select(*batch.columns)
 
 
-def insert_ignore(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Append the batch rows whose key is new; known keys keep their row."""
-    return target.unionByName(new_rows(target, batch, key), allowMissingColumns=True)
+def insert_ignore(
+    target: DataFrame, batch: DataFrame, key: Sequence[str], arrival: str | None = None
+) -> DataFrame:
+    """Append the batch rows whose key is new; known keys keep their row.
+
+    An ``arrival`` column that the target lacks only orders the batch and is not stored.
+    """
+    fresh = new_rows(target, batch, key, arrival)
+    if arrival and arrival not in target.columns:
+        fresh = fresh.drop(arrival)
+    return target.unionByName(fresh, allowMissingColumns=True)
 
 
 def seed_if_absent(target: DataFrame, seed: DataFrame, name: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fareloom.operators import history as hs, matching as mt, merge as mg
 from fareloom.operators.asof import as_of
+from fareloom.operators.audit import audit_rows
 from fareloom.operators.backfill import backfill_key
 from fareloom.operators.contract import require_empty, validation_report
 from fareloom.operators.dedupe import keep_one, repeated_keys
@@ -91,6 +92,29 @@ def test_nulls_and_ambiguous_rows_are_rejected(spark):
     assert {r.status: r.rows for r in result.statuses.collect()} == {"INSERTED": 1, "NO_CHANGE": 1, "ERROR": 3}
     assert result.rejects.count() == 3
     assert [r.location_id for r in result.history.collect()] == [2]
+    # The rejects are the batch's own rows, not copies of one of them.
+    assert sorted((r.location_id or 0, r.zone) for r in result.rejects.collect()) == [(0, "a"), (1, "a"), (1, "b")]
+
+
+def test_audit_tells_versions_that_one_batch_opens_and_closes(spark):
+    rows = [(1, "a", "2024-01-01", 1), (1, "b", "2024-01-02", 2), (1, "c", "2024-01-03", 3)]
+    batch = spark.createDataFrame(rows, "vendor_id int, vendor_name string, at string, n long").select(
+        "vendor_id", "vendor_name", F.md5("vendor_name").alias("record_hash"),
+        F.col("at").cast("timestamp_ntz").alias("at"), "n",
+    )
+    empty = hs.empty_history(batch, "vendor_id", ["vendor_name"], "row_id")
+    result = hs.scd2_merge(empty, batch, "vendor_id", ["vendor_name"], F.col("at"), arrival="n", row_id="row_id")
+    log = audit_rows(result, "vendor_id", "vendors", "loader", ["version", "is_current", "end_date"]).collect()
+    assert sorted((r.operation, r.changed_at.day) for r in log) == [
+        ("INSERT", 1), ("INSERT", 2), ("INSERT", 3), ("UPDATE", 2), ("UPDATE", 3)]
+    assert all('"is_current":true,"end_date":null' in (r.old_values or r.new_values) for r in log)
+    assert all('"is_current":false,"end_date":"' in r.new_values for r in log if r.operation == "UPDATE")
+
+
+def test_insert_ignore_keeps_the_first_delivery(spark):
+    target = spark.createDataFrame([], "id string, state string")
+    batch = spark.createDataFrame([("r", "SUCCEEDED", 1), ("r", "FAILED", 2)], "id string, state string, n int")
+    assert [tuple(r) for r in mg.insert_ignore(target, batch, ["id"], "n").collect()] == [("r", "SUCCEEDED")]
 
 
 def simulate(history, batch):
