@@ -1,38 +1,43 @@
 """Sums and averages whose result does not depend on row order.
 
-Adding doubles gives a different last digit for every partitioning. Amounts here
-carry two decimals, so they are added as whole ten-thousandths in a 64-bit
-integer (which stays inside generated code) and turned back into a double once.
-Values outside the integer range, infinities and NaN are added as doubles.
+Adding doubles gives a different last digit for every partitioning. A value that
+``decimal(38, 18)`` holds exactly is added as one; the total has room for 10**12
+values of ``EXACT_LIMIT``. All others (finer, larger, infinite, NaN) are added as
+doubles, so no value is rounded or left out.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-UNIT = 10_000.0
-EXACT_LIMIT = 1e11
+EXACT_TYPE = "decimal(38,18)"
+EXACT_LIMIT = 1e7
 
 
 def _col(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _is_exact(number: Column) -> Column:
+    same = number.try_cast(EXACT_TYPE).cast("double") == number
+    return F.coalesce((F.abs(number) < EXACT_LIMIT) & same, F.lit(False))
+
+
 def exact_units(value: str | Column) -> Column:
-    """The value in ten-thousandths, or NULL when it is not exactly addable."""
+    """The value as a decimal, or NULL when it is not exactly addable."""
     number = _col(value).cast("double")
-    return F.when(F.abs(number) < EXACT_LIMIT, F.rint(number * UNIT).cast("long"))
+    return F.when(_is_exact(number), number.try_cast(EXACT_TYPE))
 
 
 def exact_rest(value: str | Column) -> Column:
-    """The values :func:`exact_units` leaves out (NaN, infinity, huge numbers)."""
+    """The values :func:`exact_units` leaves out (finer ones, NaN, infinity, huge numbers)."""
     number = _col(value).cast("double")
-    return F.when(number.isNotNull() & ~(F.abs(number) < EXACT_LIMIT), number)
+    return F.when(number.isNotNull() & ~_is_exact(number), number)
 
 
 def total_of(units: Column, rest: Column) -> Column:
     """Combine summed units and summed rest into one double."""
-    exact = units.cast("double") / F.lit(UNIT)
+    exact = units.cast("double")
     return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
 
 

@@ -1,7 +1,7 @@
 """The five daily summaries.
 
 Four of them are coarser groupings of one small cube (date, hour, vendor,
-payment). Sums are exact integers, so adding cube cells gives the same result as
+payment). Sums are exact decimals, so adding cube cells gives the same result as
 adding trips; a publish run scans the trips twice instead of five times.
 """
 

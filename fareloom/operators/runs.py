@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fareloom.functions.numeric import exact_sum
 from fareloom.functions.temporal import elapsed_seconds
 from fareloom.operators.merge import insert_ignore, new_rows
 
@@ -148,18 +149,13 @@ def seconds_of(alarm: Alarm) -> int:
     return int(alarm.period.split()[0])
 
 
-def total_value(column: str) -> Column:
-    """Sum of metric values in whole thousandths, the same for every row order."""
-    return F.sum(F.rint(F.col(column) * 1000).cast("long")).cast("double") / F.lit(1000.0)
-
-
 def windowed_metric(points: DataFrame, alarm: Alarm) -> DataFrame:
     """The alarm's statistic per window of ``points`` (``ts``, ``metric``, ``value``).
 
     A window without points gives no row, which is how missing data counts as not
     breaching. ``ts`` must be a timestamp; a stream needs a watermark on it.
     """
-    statistic = total_value("value") if alarm.statistic == "sum" else F.max("value")
+    statistic = exact_sum("value") if alarm.statistic == "sum" else F.max("value")
     return (
         points.filter(F.col("metric") == alarm.metric)
         .groupBy(F.window("ts", alarm.period).alias("w"))

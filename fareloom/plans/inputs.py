@@ -149,8 +149,8 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exact(column: str) -> str:
-    """SQL of an order-independent sum over ten-thousandths."""
-    return f"CAST(SUM(CAST(round({column} * 10000) AS BIGINT)) AS DOUBLE) / 10000.0"
+    """SQL of an order-independent sum: every value by its shortest decimal digits."""
+    return f"CAST(CAST(SUM(CAST(CAST({column} AS VARCHAR) AS DECIMAL(38, 18))) AS VARCHAR) AS DOUBLE)"
 
 
 def exact_mean(column: str) -> str:

@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fareloom.functions.numeric import exact_sum
 from fareloom.operators.runs import (
-    ALARMS, Alarm, breaching, seconds_of, total_value, windowed_metric,
+    ALARMS, Alarm, breaching, seconds_of, windowed_metric,
 )
 
 
@@ -36,7 +37,7 @@ def alarms(points: DataFrame, rules: Sequence[Alarm] = ALARMS) -> DataFrame:
         points.withColumn("rule", F.explode(wanted))
         .withColumn("_start", F.floor(F.unix_micros("ts") / period) * period)
         .groupBy("rule", "_start")
-        .agg(total_value("value").alias("_sum"), F.max("value").alias("_max"))
+        .agg(exact_sum("value").alias("_sum"), F.max("value").alias("_max"))
     )
     value = F.when(by_rule(lambda r: r.statistic == "sum"), F.col("_sum")).otherwise(F.col("_max"))
     limit = by_rule(lambda r: float(r.threshold))

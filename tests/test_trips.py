@@ -90,6 +90,15 @@ def test_sums_do_not_depend_on_order_and_keep_odd_values(spark):
     assert tuple(none) == (None, None)
 
 
+def test_sums_neither_cut_nor_overflow(spark):
+    tiny = spark.range(1_000_000).select(F.lit(0.00004).alias("v"))
+    assert tiny.agg(exact_sum("v")).first()[0] == 40.0
+    large = spark.range(20_000).select(F.lit(9e10).alias("v"))
+    assert large.agg(exact_sum("v")).first()[0] == 1.8e15
+    fine = spark.range(4).select(F.lit(2.0**-60).alias("v"))
+    assert fine.agg(exact_sum("v")).first()[0] == 2.0**-58
+
+
 def test_cube_gives_the_same_summaries(frame):
     rows = silver(
         frame(*[trip(VendorID=i % 3, fare_amount=i + 0.1, payment_type=i % 2,
