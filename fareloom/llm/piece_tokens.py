@@ -1,12 +1,20 @@
-"""SentencePiece encoding and decoding by a table of distinct chunks.
+"""SentencePiece encoding and decoding by one table of distinct chunks.
 
 The model's normaliser only marks spaces, and none of its pieces holds a marker after another character. So no merge
 crosses the place where a marker follows another character, and a text is the sequence of its marked words: runs of
-markers with the characters up to the next marker. In every batch of rows each distinct marked word is segmented once,
-by the library, and the ids are joined back by position. What a task has learned is kept for its next batches, up to
-TABLE_ROWS words; words longer than LONG_WORD are segmented where they stand. Nothing is shuffled.
+markers with the characters up to the next marker.
 
-`ChunkTable` refuses a model that does not have these properties.
+1. Documents are put into blocks of about BLOCK_CHARS characters, within their tasks. A block keeps its distinct marked
+   words once, and each of its texts as the positions of its words in that list. Blocks are stored once.
+2. The distinct words of all blocks are segmented once each, by the library: the table of distinct chunks.
+3. The table is joined to the blocks' words, and the rows found go back to their block, where every text's ids are
+   joined by position.
+
+Only words that differ within a block and the positions are shuffled, never the texts. Memory is bounded by a block, and
+a document longer than BLOCK_CHARS is a block of its own. A word stands once in a block, so even the commonest word has
+one row for each block.
+
+`Segmenter` refuses a model that does not have these properties.
 
 Cases: a null or empty text is the end id alone and decodes to the empty text. Repeated rows get equal results. A
 word of any length is segmented whole. An empty table gives an empty result. Columns other than the named ones are
@@ -19,18 +27,22 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import by_value, table
+from fareloom.llm.common import by_value, stored, table
 
 by_value(__name__)
 
 MARK = "▁"
-#: Words kept in a task's table, and characters in a word that is kept.
-TABLE_ROWS = 300_000
-LONG_WORD = 64
+#: Characters after which a block is closed; a document counts as DOC_CHARS more than its text.
+BLOCK_CHARS = 16_000_000
+DOC_CHARS = 64
+#: Blocks one task may have: a block's number is the task's number times this, plus its place.
+TASK_BLOCKS = 1 << 32
 MODEL = "piece_bpe_32k.model"
 
 
@@ -41,8 +53,30 @@ def model_path(name: str = MODEL) -> str:
     return public_tokenizers.path(name)
 
 
-class ChunkTable:
-    """Distinct marked words of one model: ids as decimal text, and the decoded text."""
+def marked_words(text: str | None) -> list[str]:
+    """A text's chunks, in order."""
+    if not text:
+        return []
+    if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
+        return re.findall(f"{MARK}+[^{MARK}]*", MARK + text.replace(" ", MARK))
+    return [MARK + w for w in text.split(" ")]
+
+
+class Positions(dict):
+    """Word -> its position among a block's distinct words."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def code_type(words: int) -> type:
+    """The type of a block's positions."""
+    return np.uint16 if words <= 1 << 16 else np.uint32
+
+
+class Segmenter:
+    """Segments marked words by one model: ids as decimal text, and the decoded text."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -54,8 +88,6 @@ class ChunkTable:
         if self.model.decode(self.model.encode(" a  b ")) != " a  b ":
             raise ValueError("the model changes white space: words cannot be segmented alone")
         self.lone = self.model.piece_to_id(MARK)
-        self.end = str(self.model.eos_id())
-        self.rows: dict[str, tuple[str, str]] = {}
 
     def segment(self, chunk: str) -> tuple[str, str]:
         """A marked word's ids and decoded text, both as they stand inside a text."""
@@ -66,27 +98,64 @@ class ChunkTable:
         # Decoding drops one marker at the start, as it does once for a whole text.
         return " ".join(map(str, ids)), " " + self.model.decode(ids)
 
-    def look_up(self, chunks: list[str]) -> tuple[list[str], list[str]]:
-        """The rows of a text's chunks, by position; unknown ones are segmented, each once."""
-        rows = self.rows
-        own: dict[str, tuple[str, str]] = {}
-        for chunk in {c for c in chunks if c not in rows}:
-            (own if len(chunk) > LONG_WORD else rows)[chunk] = self.segment(chunk)
-        found = [rows[c] for c in chunks] if not own else [own.get(c) or rows[c] for c in chunks]
-        if len(rows) > TABLE_ROWS:
-            self.rows = {}
-        return [x[0] for x in found], [x[1] for x in found]
-
-    def encode(self, text: str | None) -> tuple[str, str]:
-        """All ids as decimal text, the end id last, and the decoded text."""
-        if not text:
-            return self.end, ""
-        if MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
-            chunks = re.findall(f"{MARK}+[^{MARK}]*", MARK + text.replace(" ", MARK))
-        else:
-            chunks = [MARK + w for w in text.split(" ")]
-        ids, decoded = self.look_up(chunks)
-        return " ".join(ids) + " " + self.end, "".join(decoded)[1:]
+
+def end_id(path: str) -> int:
+    """The model's end id."""
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path).eos_id()
+
+
+def coded_blocks(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text) -> block, with doc_id and codes for each document, and words once for each block."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"block long, doc_id {kind}, codes binary, words array<string>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() * TASK_BLOCKS
+        doc_ids, codes, positions, chars = [], [], Positions(), 0
+
+        def closed(ids: pa.DataType) -> pa.RecordBatch:
+            width = code_type(len(positions))
+            n = len(doc_ids)
+            columns = [
+                pa.array([block] * (n + 1), pa.int64()),
+                pa.array([*doc_ids, None], ids),
+                pa.array([*(c.astype(width).tobytes() for c in codes), None], pa.binary()),
+                pa.array([None] * n + [list(positions)], pa.list_(pa.string())),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["block", "doc_id", "codes", "words"])
+
+        ids = None
+        for batch in batches:
+            ids = batch.column("doc_id").type
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                words = marked_words(text.as_py())
+                length = sum(map(len, words)) + DOC_CHARS
+                if doc_ids and chars + length > BLOCK_CHARS:
+                    yield closed(ids)
+                    doc_ids, codes, positions, chars = [], [], Positions(), 0
+                    block += 1
+                doc_ids.append(doc_id)
+                codes.append(np.fromiter(map(positions.__getitem__, words), np.uint32, len(words)))
+                chars += length
+        if doc_ids:
+            yield closed(ids)
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def chunk_table(words: DataFrame, path: str | None = None) -> DataFrame:
+    """words (word) -> word, ids, decoded: each distinct word segmented once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Segmenter(path or model_path())
+        for batch in batches:
+            found = [model.segment(w) for w in batch.column("word").to_pylist()]
+            columns = [batch.column("word"), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "ids", "decoded"])
+
+    return words.select("word").distinct().mapInArrow(run, "word string, ids string, decoded string")
 
 
 def encode_texts(docs: DataFrame, path: str | None = None, full: bool = False) -> DataFrame:
@@ -94,32 +163,42 @@ def encode_texts(docs: DataFrame, path: str | None = None, full: bool = False) -
 
     path: the model file; if None, each task asks for the public vocabulary's place.
     """
-    kind = docs.schema["doc_id"].dataType
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = ChunkTable(path or model_path())
-        for batch in batches:
-            counts, id_hashes, text_hashes, ids, texts = [], [], [], [], []
-            for text in batch.column("text"):
-                coded, decoded = chunks.encode(text.as_py())
-                counts.append(coded.count(" ") + 1)
-                id_hashes.append(hashlib.sha256(coded.encode()).hexdigest())
-                text_hashes.append(hashlib.sha256(decoded.encode()).hexdigest())
-                if full:
-                    ids.append([int(x) for x in coded.split(" ")])
-                    texts.append(decoded)
-            columns = {
-                "doc_id": batch.column("doc_id"),
-                "n_tokens": pa.array(counts, pa.int64()),
-                "ids_sha256": pa.array(id_hashes, pa.string()),
-                "decoded_sha256": pa.array(text_hashes, pa.string()),
-            }
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    blocks = stored(coded_blocks(docs), "coded-blocks")
+    words = blocks.filter("words IS NOT NULL").select(F.col("block").alias("home"), F.posexplode("words").alias("at", "word"))
+    rows = words.join(chunk_table(words, path), "word").select("home", "at", "ids", "decoded")
+    coded = blocks.filter("words IS NULL").select("block", "doc_id", "codes")
+
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        end = str(end_id(path or model_path()))
+        order = np.argsort(found.column("at").to_numpy())
+        ids_at = np.array(found.column("ids").to_pylist(), object)[order]
+        decoded_at = np.array(found.column("decoded").to_pylist(), object)[order]
+        width = code_type(len(order))
+        counts, id_hashes, text_hashes, ids, decoded = [], [], [], [], []
+        for codes in texts.column("codes"):
+            at = np.frombuffer(codes.as_buffer(), width)
+            whole = " ".join([*ids_at[at], end])
+            text = "".join(decoded_at[at])[1:]
+            counts.append(whole.count(" ") + 1)
+            id_hashes.append(hashlib.sha256(whole.encode()).hexdigest())
+            text_hashes.append(hashlib.sha256(text.encode()).hexdigest())
             if full:
-                columns |= {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(texts, pa.string())}
-            yield pa.RecordBatch.from_pydict(columns)
-
-    schema = f"doc_id {kind.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInArrow(run, schema + (", ids array<int>, decoded string" if full else ""))
+                ids.append(np.fromstring(whole, np.int32, sep=" "))
+                decoded.append(text)
+        columns = {
+            "doc_id": texts.column("doc_id"),
+            "n_tokens": pa.array(counts, pa.int64()),
+            "ids_sha256": pa.array(id_hashes, pa.string()),
+            "decoded_sha256": pa.array(text_hashes, pa.string()),
+        }
+        if full:
+            columns |= {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())}
+        return pa.table(columns)
+
+    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema += ", ids array<int>, decoded string" if full else ""
+    return coded.groupBy("block").cogroup(rows.groupBy("home")).applyInArrow(run, schema)
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,4 +208,4 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage, the last: the ids of every document that is left."""
-    return encode_texts(docs, full=True).drop("decoded").withColumn("ids", F.col("ids"))
+    return encode_texts(docs, full=True).drop("decoded")
