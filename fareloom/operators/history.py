@@ -7,8 +7,9 @@ id. A merge compares a batch with the current rows and yields the next history.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -21,6 +22,9 @@ INSERTED, UPDATED, NO_CHANGE, ERROR = "INSERTED", "UPDATED", "NO_CHANGE", "ERROR
 #: Arrival numbers are unique, so one (key, slice) group never exceeds this many rows.
 SLICE_ROWS = 1_000_000
 
+#: History columns, where they exist, with the time a row was added and last changed.
+CREATED_AT, UPDATED_AT = "created_at", "updated_at"
+
 
 @dataclass(frozen=True)
 class MergeResult:
@@ -61,6 +65,9 @@ def scd2_merge(
     *,
     arrival: str | None = None,
     row_id: str = "golden_zone_row_id",
+    recorded: str | Column | None = None,
+    numbered: Sequence[str] = (),
+    defaults: Mapping[str, Column] | None = None,
     store_changes: bool = True,
 ) -> MergeResult:
     """Apply ``batch`` (key, attributes, ``record_hash``) to ``history``.
@@ -72,6 +79,11 @@ def scd2_merge(
     gets one version per change. Without it a key may repeat only with equal
     hashes; differing rows of one key have no order and are rejected.
 
+    The history may have more columns. ``created_at`` and ``updated_at`` of new rows and
+    ``updated_at`` of closed rows are set to ``recorded``, the time of the merge (now when
+    left out). New rows number on in the columns ``numbered``, take the values of
+    ``defaults``, and have NULL in the rest. Ids of a key's new rows follow its versions.
+
     The changes feed the new rows, the closed rows, the audit and the counts. They
     are computed once and stored in the shared folder, which also makes them
     survive a lost executor; ``store_changes=False`` keeps the merge fully lazy and
@@ -92,9 +104,10 @@ def scd2_merge(
         path = shared_dir(batch.sparkSession, "scd2-changes")
         changes.write.parquet(path)
         changes = batch.sparkSession.read.schema(changes.schema).parquet(path)
-    created = assign_ids(
-        changes, [key, "version"], row_id, start_after=highest_id(history, row_id)
-    )
+    stamp = _recorded(recorded)
+    highest = highest_id(history, row_id)
+    created = assign_ids(changes, [key], row_id, start_after=highest, in_order="version")
+    created = _filled(created, history, row_id, highest, stamp, numbered, defaults or {})
 
     first_change = changes.filter("_first").select(
         F.col(key), F.col("effective_date").alias("_closed_at")
@@ -103,16 +116,15 @@ def scd2_merge(
         *[F.col(c) for c in history.columns], "_closed_at"
     )
     replaced_all = touched.filter(F.col("_closed_at").isNotNull())
-    expired = replaced_all.withColumns(
-        {"is_current": F.lit(False), "end_date": F.col("_closed_at")}
-    ).select(*history.columns)
+    closing = {"is_current": F.lit(False), "end_date": F.col("_closed_at")}
+    if UPDATED_AT in history.columns:
+        closing[UPDATED_AT] = stamp.cast(history.schema[UPDATED_AT].dataType)
+    expired = replaced_all.withColumns(closing).select(*history.columns)
     new_rows = created.select(*history.columns)
     kept = touched.select(
         *[
-            F.when(F.col("_closed_at").isNotNull(), F.lit(False)).otherwise(F.col(c)).alias(c)
-            if c == "is_current"
-            else F.coalesce(F.col("_closed_at"), F.col(c)).alias(c)
-            if c == "end_date"
+            F.when(F.col("_closed_at").isNotNull(), closing[c]).otherwise(F.col(c)).alias(c)
+            if c in closing
             else F.col(c)
             for c in history.columns
         ]
@@ -135,6 +147,38 @@ def _effective(effective: str | Column | None) -> Column:
     return value.cast("timestamp_ntz")
 
 
+def _recorded(recorded: str | Column | None) -> Column:
+    """The time of the merge; one value for all uses, however often they are computed."""
+    if isinstance(recorded, str):
+        return F.lit(recorded).cast("timestamp_ntz")
+    return F.lit(datetime.now(timezone.utc)) if recorded is None else recorded
+
+
+def _filled(
+    created: DataFrame,
+    history: DataFrame,
+    row_id: str,
+    highest: DataFrame,
+    stamp: Column,
+    numbered: Sequence[str],
+    defaults: Mapping[str, Column],
+) -> DataFrame:
+    """New rows with the history's further columns."""
+    values = {}
+    for field in history.schema:
+        name = field.name
+        if name in created.columns:
+            continue
+        if name in numbered:
+            value = F.col(row_id) - F.coalesce(highest.scalar(), F.lit(0)) + highest_id(history, name).scalar()
+        elif name in defaults:
+            value = defaults[name]
+        else:
+            value = stamp if name in (CREATED_AT, UPDATED_AT) else F.lit(None)
+        values[name] = value.cast(field.dataType)
+    return created.withColumns(values) if values else created
+
+
 def _status_counts(batch: DataFrame, changes: DataFrame, rejects: DataFrame) -> DataFrame:
     """Rows by status; what is neither a change nor rejected is a row without change."""
     made = changes.groupBy("status").agg(F.count(F.lit(1)).alias("rows"))

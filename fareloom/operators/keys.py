@@ -13,6 +13,8 @@ def assign_ids(
     id_column: str,
     start_after: DataFrame | int = 0,
     buckets: int = 4096,
+    in_order: str | None = None,
+    step: int = 1_000_000,
 ) -> DataFrame:
     """Number the rows 1, 2, 3, ... after ``start_after``.
 
@@ -21,13 +23,20 @@ def assign_ids(
     in earlier buckets; only the bucket totals (at most ``buckets`` rows) are
     ordered in one task. The numbering depends on the data alone, so a repeated
     task gives the same ids. ``start_after`` is a number or a one-cell frame.
+
+    ``in_order`` names a whole number, such as a version: rows that agree in ``unique``
+    get ids in its order. Each ``step`` of its values has buckets of its own, after
+    those of the step before, so that no bucket has more than ``step`` rows of one key.
     """
     names = [c for c in df.columns if c != id_column]
-    spread = df.select(*names).withColumn(
-        "_bucket", F.pmod(F.xxhash64(*unique), F.lit(buckets)).cast("int")
-    )
+    bucket = F.pmod(F.xxhash64(*unique), F.lit(buckets)).cast("long")
+    order = list(unique)
+    if in_order:
+        bucket += F.floor(F.col(in_order) / step).cast("long") * buckets
+        order.append(in_order)
+    spread = df.select(*names).withColumn("_bucket", bucket)
     numbered = spread.withColumn(
-        "_place", F.row_number().over(Window.partitionBy("_bucket").orderBy(*unique))
+        "_place", F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
     )
     sizes = spread.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -38,7 +47,9 @@ def assign_ids(
         start = F.coalesce(start_after.scalar(), F.lit(0))
     else:
         start = F.lit(start_after)
-    return numbered.join(F.broadcast(offsets), "_bucket").select(
+    # The number of steps has no fixed bound, so there Spark chooses the join.
+    offsets = offsets if in_order else F.broadcast(offsets)
+    return numbered.join(offsets, "_bucket").select(
         *names, (start + F.col("_offset") + F.col("_place")).cast("long").alias(id_column)
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from fareloom.operators import backfill as bf, dedupe as dd, history as hs, matching as mt, merge as mg
 from fareloom.operators.asof import as_of
@@ -147,6 +147,65 @@ register(
     ).statuses
 )
 
+
+def wide_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both batches merged into a history with ids, times and a remark of its own."""
+    first, second = (standard_batch(spark, sf_dir, later) for later in (False, True))
+    history = hs.empty_history(first, "location_id", ZONE_ATTRIBUTES, "golden_zone_row_id").withColumns({
+        "golden_id": F.lit(None).cast("int"),
+        "created_at": F.lit(None).cast("timestamp_ntz"),
+        "updated_at": F.lit(None).cast("timestamp_ntz"),
+        "remark": F.lit(None).cast("string"),
+        "origin": F.lit(None).cast("string"),
+    })
+    for batch, when in ((first, FIRST_TIME), (second, SECOND_TIME)):
+        history = hs.scd2_merge(
+            history, batch, "location_id", ZONE_ATTRIBUTES, when, recorded=when,
+            numbered=["golden_id"], defaults={"origin": F.lit("batch")},
+        ).history
+    return history
+
+
+def with_id_order(history: DataFrame) -> DataFrame:
+    """What SQL can tell of ids: their order within a key, and the highest one."""
+    highest = history.agg(F.max("golden_id").cast("long")).scalar()
+    order = F.row_number().over(Window.partitionBy("location_id").orderBy("golden_id"))
+    return history.withColumns({"id_order": order, "highest": highest})
+
+
+register(
+    "scd2_wide_history",
+    """SELECT *, effective_date AS created_at, COALESCE(end_date, effective_date) AS updated_at,
+              CAST(NULL AS VARCHAR) AS remark, 'batch' AS origin, version AS id_order,
+              (SELECT COUNT(*) FROM versions) AS highest
+       FROM versions""",
+    BATCHES_SQL,
+)(
+    lambda s, d: with_id_order(wide_load(s, d)).select(
+        *VERSION_COLUMNS, "created_at", "updated_at", "remark", "origin", "id_order", "highest"
+    )
+)
+
+
+def event_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a row of its user, without an order."""
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("vendor_id"), F.col("event_type").alias("vendor_name"),
+        F.md5("event_type").alias("record_hash"), "event_id",
+    )
+
+
+register(
+    "scd2_ambiguous_rejects",
+    """SELECT user_id AS vendor_id, event_type AS vendor_name, event_id FROM events
+       WHERE user_id IN (SELECT user_id FROM events GROUP BY 1 HAVING COUNT(DISTINCT event_type) > 1)""",
+)(
+    lambda s, d: hs.scd2_merge(
+        hs.empty_history(event_types(s, d), "vendor_id", ["vendor_name"], "vendor_row_id"),
+        event_types(s, d), "vendor_id", ["vendor_name"], FIRST_TIME, row_id="vendor_row_id",
+    ).rejects.select("vendor_id", "vendor_name", "event_id")
+)
+
 register(
     "scd2_rejects",
     """SELECT borough, zone, service_zone, 'location_id must not be null' AS reason

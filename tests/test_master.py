@@ -96,6 +96,29 @@ def test_nulls_and_ambiguous_rows_are_rejected(spark):
     assert sorted((r.location_id or 0, r.zone) for r in result.rejects.collect()) == [(0, "a"), (1, "a"), (1, "b")]
 
 
+def test_histories_with_further_columns(spark):
+    batch = one_zone(spark, "a", 1)
+    empty = hs.empty_history(batch, "location_id", ["borough", "zone", "service_zone"], "golden_zone_row_id")
+    wide = empty.withColumns({"golden_id": F.lit(None).cast("int"), "created_at": F.lit(None).cast("timestamp"),
+                              "updated_at": F.lit(None).cast("timestamp"), "remark": F.lit(None).cast("string")})
+    history = wide
+    for zone, day in (("a", "2024-01-01"), ("b", "2024-01-02")):
+        history = hs.scd2_merge(history, one_zone(spark, zone, 1), "location_id", ["borough", "zone", "service_zone"],
+                                day, recorded=day, numbered=["golden_id"]).history
+    assert history.schema.simpleString() == wide.schema.simpleString()
+    rows = history.orderBy("version").collect()
+    assert [(r.golden_id, r.created_at.day, r.updated_at.day, r.remark) for r in rows] == [(1, 1, 2, None), (2, 2, 2, None)]
+
+
+def test_ids_follow_the_order_within_a_key(spark):
+    rows = spark.range(3000).select((F.col("id") % 7).alias("k"), F.expr("id div 7 + 1").cast("int").alias("version"))
+    got = assign_ids(rows, ["k"], "row_id", 10, in_order="version", step=50, buckets=4).collect()
+    assert sorted(r.row_id for r in got) == list(range(11, 3011))
+    for k in range(7):
+        own = sorted((r.version, r.row_id) for r in got if r.k == k)
+        assert [x[1] for x in own] == sorted(x[1] for x in own)
+
+
 def test_audit_tells_versions_that_one_batch_opens_and_closes(spark):
     rows = [(1, "a", "2024-01-01", 1), (1, "b", "2024-01-02", 2), (1, "c", "2024-01-03", 3)]
     batch = spark.createDataFrame(rows, "vendor_id int, vendor_name string, at string, n long").select(
