@@ -58,6 +58,12 @@ def clean_trips(df: DataFrame) -> DataFrame:
     return typed_trip(df.filter(valid_trip()).dropDuplicates())
 
 
+def valid_trips(df: DataFrame) -> DataFrame:
+    """Valid, typed trips with their copies: for lows and highs, which copies don't change."""
+    require_columns(df, REQUIRED)
+    return typed_trip(df.filter(valid_trip()))
+
+
 def with_partitions(df: DataFrame) -> DataFrame:
     """Add the year and month the silver layer is partitioned by."""
     return df.withColumns(

@@ -113,11 +113,18 @@ def dim_payment(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(PAYMENT_TYPES), schema)
 
 
-def build_star(silver: DataFrame, zones: DataFrame, *, zone_bound: int | None = None) -> Star:
-    """All four tables. ``zone_bound`` is the proven row limit of ``zones``, when known."""
+def build_star(
+    silver: DataFrame, zones: DataFrame, *, zone_bound: int | None = None, dated: DataFrame | None = None
+) -> Star:
+    """All four tables. ``zone_bound`` is the proven row limit of ``zones``, when known.
+
+    ``dated`` holds the same trips with copies kept (see ``clean.valid_trips``): the calendar
+    needs their first and last day alone, so it is read from there without a shuffle of rows.
+    """
     fact = fact_trips(silver)
+    days = fact if dated is None else fact_trips(dated)
     payments = F.broadcast(dim_payment(silver.sparkSession))
-    bare = Star(fact, dim_zone(zones), dim_date(fact), payments, zone_bound)
+    bare = Star(fact, dim_zone(zones), dim_date(days), payments, zone_bound)
     return replace(bare, dim_zone=bare.hint_zones(bare.dim_zone))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from fareloom.operators.clean import silver
+from fareloom.operators.clean import silver, valid_trips
 from fareloom.operators.matching import resolve_current
 from fareloom.operators.skew import hot_keys, lookup_join
 from fareloom.operators.star import Star, build_star
@@ -202,7 +202,8 @@ def current_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star(spark: SparkSession, sf_dir: str, cleaned: DataFrame | None = None) -> Star:
     """The proxy star. Resolution keeps ids 1..265, so the zone dimension is that small."""
     cleaned = trips(spark, sf_dir) if cleaned is None else cleaned
-    return build_star(cleaned, current_zones(spark, sf_dir), zone_bound=265)
+    dated = valid_trips(bronze(spark, sf_dir))
+    return build_star(cleaned, current_zones(spark, sf_dir), zone_bound=265, dated=dated)
 
 
 STAR_SQL = TRIPS_SQL + """,
