@@ -4,8 +4,8 @@ Each record hashes into one of thousands of slots, whose number never changes. B
 versioned map sends slots to shards. Version 0 deals the slots out in turn; rebalancing writes the next version, which
 keeps most slots where they are and moves small ones until the shards are near equal in bytes.
 
-Law: `bytes`. Identical rows are told apart by a copy number, so that a row repeated any number of times spreads over
-the slots like other rows. Null ids hash like a value of their own; a null text has no bytes. An empty table gives no
+Law: `bytes`. The slot is a hash of id, size, checksum of the text and copy number, so neither a row repeated any number
+of times nor one id (or null) with many texts gathers in a slot. A null text has no bytes. An empty table gives no
 rows (the map is still written). Columns other than the named ones are never looked at.
 """
 
@@ -38,7 +38,7 @@ def measured(docs: DataFrame) -> DataFrame:
     last = F.least(F.col("n") - 1, (F.col("run") + 1) * RUN - 1)
     copies = runs.withColumn("copy", F.explode(F.sequence(F.col("run") * RUN, last)))
     return copies.select(
-        "id", "size", "text_crc32", F.pmod(F.xxhash64("id", "copy"), F.lit(SLOTS)).cast("int").alias("vslot")
+        "id", "size", "text_crc32", F.pmod(F.xxhash64("id", "size", "text_crc32", "copy"), F.lit(SLOTS)).cast("int").alias("vslot")
     )
 
 

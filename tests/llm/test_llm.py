@@ -224,6 +224,17 @@ def test_shards(spark, folder, request):
         assert set(sizes) == set(range(24)) and max(sizes.values()) - min(sizes.values()) <= max(r["size"] for r in rows)
 
 
+def test_one_id_with_many_texts_spreads(spark, tmp_path):
+    from fareloom.llm import sharding
+
+    docs = spark.range(9000).select(
+        F.when(F.col("id") % 3 != 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text")
+    )
+    placed = sharding.shard_records(docs, 24, str(tmp_path / "map"))
+    sizes = [r.bytes for r in placed.groupBy("shard").agg(F.sum("size").alias("bytes")).collect()]
+    assert len(sizes) == 24 and max(sizes) < 1.05 * sum(sizes) / 24
+
+
 def test_rebalancing_keeps_most_slots(spark, sf_dir, tmp_path):
     from fareloom.llm import sharding
 
