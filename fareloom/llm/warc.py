@@ -5,8 +5,8 @@ response, the others become revisit records that refer to it. Archives are writt
 in responses. Reading back streams each archive record by record and joins revisits to their responses again.
 
 Archives are gzip files. A record is its headers, an empty line, its block and two line ends; Spark's text writer puts
-those two line ends, and its reader splits there. A payload that holds two line ends itself is put together again by
-its Content-Length. A gzip file is read by one task from start to end, so records keep their order, and memory is
+those two line ends, and its reader splits there. The pieces are put together again, and records are cut from them by
+their Content-Length, so a payload may hold line ends anywhere, its own end included. A gzip file is read by one task from start to end, so records keep their order, and memory is
 bounded by the largest record.
 
 Cases: null html is an empty payload, and empty payloads count as equal. A null url becomes an empty target. Rows with
@@ -161,24 +161,40 @@ def parse_record(raw: bytes) -> tuple | None:
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pieces between double line ends, in order -> records."""
     columns = [f.split()[0] for f in RECORD.split(", ")]
+    end = b"\r\n\r\n"
     rest: list[bytes] = []
-    have = need = 0
+    have = need = 0  # bytes in rest, and in the record it begins with (0: headers not yet whole)
+    current = None
+
+    def whole() -> None:
+        # Every piece is taken to end in `end`; an archive's last one may not, which leaves one `end` over.
+        if b"".join(rest) not in (b"", end):
+            raise ValueError("an archive ends inside a record")
+
     for batch in batches:
         rows = []
         for piece, archive in zip(batch["value"], batch["archive"], strict=True):
-            data = bytes(piece)
-            rest.append(data)
-            have += len(data) + 4
-            if len(rest) == 1:  # the headers
-                length = data.rsplit(b"Content-Length: ", 1)[1]
-                need = len(data) + 4 + int(length)
-            if len(rest) > 1 and have - 4 >= need:
-                rows.append((*parse_record(b"\r\n\r\n".join(rest)), archive))
-                rest, have = [], 0
+            if archive != current:
+                whole()
+                rest, have, need, current = [], 0, 0, archive
+            rest += [bytes(piece), end]
+            have += len(piece) + 4
+            while have and have >= need:
+                data = b"".join(rest)
+                if not need:
+                    if data == end:
+                        break
+                    head = data.index(end)
+                    if not data.startswith(b"WARC/"):
+                        raise ValueError("an archive's record does not begin where the one before ends")
+                    need = head + 4 + int(data[:head].rsplit(b"Content-Length: ", 1)[1]) + 4
+                if have >= need:
+                    rows.append((*parse_record(data[: need - 4]), archive))
+                    data, need = data[need:], 0
+                rest, have = [data], len(data)
         if rows:
             yield pd.DataFrame(rows, columns=columns).astype({"page_id": "Int64", "payload_bytes": "Int64", "refers_to": "Int64"})
-    if rest:
-        raise ValueError("an archive ends inside a record")
+    whole()
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:

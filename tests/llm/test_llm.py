@@ -335,6 +335,17 @@ def test_archives_hold_each_payload_once(spark, odd):
     assert len(payloads) == len(set(payloads)) == 4 and sorted(r.refers_to for r in back if r.refers_to is not None) == [1, 1, 3]
 
 
+def test_archives_with_line_ends_at_the_end_of_payloads(spark):
+    payloads = ["x\r\n", "\r\n", "x\r\n\r\n\r\n", "x\r\n\r\n", "\r\n\r\n\r\n", "x\r", "x\r\n\r", "plain", "", "WARC/1.1\r\n\r\n\r\n"]
+    for last in range(len(payloads)):  # each is an archive's last record once
+        order = payloads[last + 1 :] + payloads[: last + 1]
+        pages = spark.createDataFrame(list(enumerate(order)), "page_id long, html string").withColumn("url", F.lit("http://a"))
+        path = common.shared_dir(spark, "test-ends")
+        warc.write_archives(warc.records(pages).coalesce(1).sortWithinPartitions("page_id"), path)
+        back = warc.read_archives(spark, path).collect()
+        assert [(r.payload, r.payload_bytes) for r in sorted(back, key=lambda r: r.page_id)] == [(p, len(p)) for p in order]
+
+
 def test_boilerplate_lines(spark, monkeypatch, tmp_path):
     own = lambda k: " ".join(f"own{k}word{i}" for i in range(12))
     rows = [(k, "Shared header line\n" + own(k), "en", "a") for k in range(40)]
