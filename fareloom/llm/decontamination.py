@@ -10,7 +10,11 @@ two segments of an item, so that each segment lies in one whole.
 
 A retrieved item counts only if enough of its question's and of its answer's word n-grams stand near the passage.
 
-Test items are split over index shards of at most SHARD_POSTINGS postings (an item's segments stay together). Each
+Items are indexed by text: distinct (item, question, answer) rows are numbered, statistics and weights are those of
+texts, and a text's number turns back into its item's id once it is verified. So repeated rows weigh nothing, and an id
+with several texts is found by any of them.
+
+Texts are split over index shards of SHARD_POSTINGS postings on average (a text's segments stay together). Each
 shard is one broadcast of bounded size, and the documents pass through one shard after the other.
 
 Cases: null or empty documents match nothing; null or empty items match nothing. Repeated rows and equal ids give one
@@ -214,22 +218,28 @@ class ItemIndex:
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs (key, text), items (item, question, answer) -> key, item, score, question_overlap, answer_overlap."""
     spark = docs.sparkSession
-    index = stored(postings(items), "postings")
+    # Stored, so that a text's number is the same wherever it is read.
+    distinct = items.select("item", "question", "answer").distinct()
+    numbered = stored(distinct.withColumn("number", F.monotonically_increasing_id()), "texts")
+    index = stored(postings(numbered.select(F.col("number").alias("item"), "question", "answer")), "postings")
     kind = docs.schema["key"].dataType.simpleString()
     schema = f"key {kind}, item long, score double, question_overlap double, answer_overlap double"
     shards = -(-index.count() // SHARD_POSTINGS)
     found = None
     for shard in range(shards):
-        mine = F.pmod(F.xxhash64("item"), F.lit(shards)) == shard
-        rows = index.filter(mine).toArrow().to_pylist()  # SHARD_POSTINGS on average
-        texts = items.filter(mine).filter("item IS NOT NULL").select("item", "question", "answer").toArrow().to_pylist()
+        mine = lambda number: F.pmod(F.xxhash64(number), F.lit(shards)) == shard  # noqa: B023, E731
+        texts = numbered.filter(mine("number")).filter("item IS NOT NULL").toArrow().to_pylist()
+        ids = {t["number"]: t["item"] for t in texts}
+        rows = [r for r in index.filter(mine("item")).toArrow().to_pylist() if r["item"] in ids]  # SHARD_POSTINGS on average
         if not rows:
             continue
-        sent = spark.sparkContext.broadcast(vars(ItemIndex([r for r in rows if r["item"] is not None], texts)))
+        built = ItemIndex(rows, [{**t, "item": t["number"]} for t in texts])
+        sent = spark.sparkContext.broadcast((vars(built), ids))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = ItemIndex.__new__(ItemIndex)
-            vars(index).update(sent.value)
+            values, ids = sent.value
+            vars(index).update(values)
             for batch in batches:
                 keys, texts = batch.column("key"), batch.column("text")
                 at = 0
@@ -240,9 +250,9 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
                         words += len(docs[-1])
                     hits = list(index.matches(docs))
                     if hits:
-                        d, *rest = map(list, zip(*hits, strict=True))
+                        d, number, *rest = map(list, zip(*hits, strict=True))
                         yield pa.RecordBatch.from_arrays(
-                            [keys.take(pa.array([at + x for x in d])), pa.array(rest[0], pa.int64()), *map(pa.array, rest[1:])],
+                            [keys.take(pa.array([at + x for x in d])), pa.array([ids[n] for n in number], pa.int64()), *map(pa.array, rest)],
                             ["key", "item", "score", "question_overlap", "answer_overlap"],
                         )
                     at += len(docs)

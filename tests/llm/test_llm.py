@@ -282,6 +282,19 @@ def test_retrieval_is_exact():
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
+def test_items_with_repeated_rows_or_several_texts(spark):
+    from fareloom.llm import decontamination as d
+
+    text = lambda name: (" ".join(f"{name}{i}" for i in range(12)), " ".join(f"{name}{i}" for i in range(12, 18)))
+    items = [(1, *text("one"))] * 5 + [(2, *text("two")), (2, *text("too")), (None, *text("none")), (3, *text("one"))]
+    docs = [(k, f"before {' '.join(text(name))} after") for k, name in enumerate(["one", "two", "too", "none"])]
+    found = d.contaminated(
+        spark.createDataFrame(docs, "key long, text string"), spark.createDataFrame(items, "item long, question string, answer string")
+    ).collect()
+    assert sorted((r.key, r.item) for r in found) == [(0, 1), (0, 3), (1, 2), (2, 2)]
+    assert all(abs(r.score - 1) < 1e-6 for r in found)
+
+
 def test_quality_scores(spark, sf_dir, odd):
     rows = QUERIES["op8_quality_model"](spark, odd).collect()
     assert len(rows) == 14 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
