@@ -1,8 +1,10 @@
 """Trips, zones, vendors and runs derived from the driver's tables.
 
 Each input exists twice: as a DataFrame and as SQL text for the comparison
-engine. Both state the same definition. Every input covers the whole table; the
-modulo conditions only decide which rows carry a change, a fault or a repeat.
+engine. Both state the same definition. Every input covers the whole table, but
+for `customer_matches`, which has every third customer zone (`every_match` has
+all); the other modulo conditions only decide which rows carry a change, a
+fault or a repeat.
 """
 
 from __future__ import annotations
@@ -358,9 +360,13 @@ def customer_golden(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Match rows of every third customer zone, made before any of them moved."""
-    zones = customer_zones(spark, sf_dir).filter(F.col("location_id") % 3 == 0)
-    return zones.select(
+    """Match rows of every third customer zone: the pairs already present when matching runs."""
+    return every_match(spark, sf_dir).filter(F.col("source_zone_id") % 3 == 0)
+
+
+def every_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Match rows of every customer zone, made before any of them moved."""
+    return customer_zones(spark, sf_dir).select(
         F.col("location_id").alias("match_id"),
         F.col("location_id").alias("golden_zone_id"),
         F.col("location_id").alias("source_zone_id"),
@@ -390,6 +396,14 @@ matches AS (
   FROM customer_zones WHERE location_id % 3 = 0
 )"""
 
+EVERY_MATCH_SQL = GOLDEN_SQL + """,
+every_match AS (
+  SELECT location_id AS match_id, location_id AS golden_zone_id, location_id AS source_zone_id,
+         location_id * 10 + 1 AS golden_zone_row_id, CAST(1.0 AS DECIMAL(5,4)) AS confidence_score,
+         'confirmed' AS status, 'insert' AS operation
+  FROM customer_zones
+)"""
+
 
 def vendor_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as a raw vendor file under its alternative headings, with repeats and blanks."""

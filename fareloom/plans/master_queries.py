@@ -14,8 +14,8 @@ from fareloom.operators.reference import (
     ZONE_ATTRIBUTES, clean_reference, clean_vendors, hash_vendors, standardise_and_hash,
 )
 from fareloom.plans.inputs import (
-    BATCHES_SQL, CUSTOMER_ZONES_SQL, GOLDEN_SQL, TRIPS_SQL, bronze, customer_golden, customer_matches,
-    customer_zones, portable, raw_batch, table, vendor_rows,
+    BATCHES_SQL, CUSTOMER_ZONES_SQL, EVERY_MATCH_SQL, GOLDEN_SQL, TRIPS_SQL, bronze, customer_golden,
+    customer_matches, customer_zones, every_match, portable, raw_batch, table, vendor_rows,
 )
 
 QUERIES: dict = {}
@@ -435,6 +435,76 @@ register(
     )
 )
 
+# The five queries above start from every third customer zone; these take every zone, with faults set by value.
+
+register(
+    "stale_pointer_whole",
+    """SELECT g.location_id, g.golden_zone_row_id, g.version
+       FROM every_match m JOIN golden g ON g.location_id = m.source_zone_id AND g.is_current
+       WHERE m.golden_zone_row_id <> g.golden_zone_row_id""",
+    EVERY_MATCH_SQL,
+)(
+    lambda s, d: mt.stale_pointers(
+        every_match(s, d), customer_zones(s, d), customer_golden(s, d), 1, ID_LIMIT
+    )
+)
+
+register(
+    "match_details_whole",
+    """SELECT m.match_id, m.status, CAST(m.confidence_score AS DOUBLE) AS confidence_score,
+              g.golden_id, g.borough AS golden_borough, g.zone AS golden_zone,
+              g.service_zone AS golden_service_zone, z.location_id AS source_location_id,
+              z.borough AS source_borough, z.zone AS source_zone,
+              z.service_zone AS source_service_zone
+       FROM every_match m JOIN golden g ON m.golden_zone_id = g.golden_id
+       JOIN customer_zones z ON m.source_zone_id = z.location_id""",
+    EVERY_MATCH_SQL,
+)(lambda s, d: mt.match_details(every_match(s, d), customer_golden(s, d), customer_zones(s, d)))
+
+register(
+    "match_domains_whole",
+    """SELECT COUNT(*) FILTER (WHERE source_zone_id % 9 = 0) AS bad_score,
+              COUNT(*) FILTER (WHERE source_zone_id % 12 = 0) AS bad_status,
+              COUNT(*) FILTER (WHERE source_zone_id % 7 = 0) AS bad_operation
+       FROM every_match""",
+    EVERY_MATCH_SQL,
+)(
+    lambda s, d: mt.match_domain_violations(
+        every_match(s, d).withColumns(
+            {
+                "confidence_score": F.when(
+                    F.col("source_zone_id") % 9 == 0, F.lit("1.5").cast("decimal(5,4)")
+                ).otherwise(F.col("confidence_score")),
+                "status": F.when(F.col("source_zone_id") % 12 == 0, "odd").otherwise(F.col("status")),
+                "operation": F.when(F.col("source_zone_id") % 7 == 0, "odd").otherwise(F.col("operation")),
+            }
+        )
+    )
+)
+
+FAR = 10**15
+register(
+    "foreign_keys_whole",
+    f"""SELECT 'source_zone_id' AS rule, COUNT(*) AS violations
+       FROM (SELECT CASE WHEN source_zone_id % 4 = 0 THEN source_zone_id + {FAR}
+                         ELSE source_zone_id END AS source_zone_id FROM every_match) m
+       WHERE NOT EXISTS (SELECT 1 FROM customer_zones z WHERE z.location_id = m.source_zone_id)
+       UNION ALL
+       SELECT 'golden_zone_row_id', COUNT(*) FROM every_match m
+       WHERE NOT EXISTS (SELECT 1 FROM golden g
+                         WHERE g.is_current AND g.golden_zone_row_id = m.golden_zone_row_id)""",
+    EVERY_MATCH_SQL,
+)(
+    lambda s, d: mt.foreign_key_violations(
+        every_match(s, d).withColumn(
+            "source_zone_id",
+            F.col("source_zone_id") + F.when(F.col("source_zone_id") % 4 == 0, FAR).otherwise(0),
+        ),
+        customer_zones(s, d),
+        mt.current_version(customer_golden(s, d)),
+    )
+)
+
 ASOF_SQL = """
 SELECT o.o_orderkey, o.o_orderdate, g.version AS asof_version, g.borough AS asof_borough
 FROM orders o LEFT JOIN golden g ON g.location_id = o.o_custkey + 1
@@ -586,6 +656,20 @@ register(
     ).select("match_id", "golden_zone_id", "golden_zone_row_id")
 )
 
+register(
+    "pointer_backfill_whole",
+    """SELECT match_id, golden_zone_id, golden_zone_row_id FROM every_match""",
+    EVERY_MATCH_SQL,
+)(
+    lambda s, d: bf.backfill_pointer(
+        every_match(s, d).withColumn(
+            "golden_zone_row_id",
+            F.when(F.col("match_id") % 2 == 0, F.col("golden_zone_row_id")),
+        ),
+        customer_golden(s, d),
+    ).select("match_id", "golden_zone_id", "golden_zone_row_id")
+)
+
 register(
     "scd_column_backfill",
     """SELECT location_id, 1 AS version, TRUE AS is_current,

@@ -292,3 +292,20 @@ def test_validation_report(spark, rows, required, key, valid, part):
     df = spark.createDataFrame(rows, "LocationID int, Borough string")
     report = validation_report(df, required, key, {"LocationID": "location_id"}, refuse_empty=True).first()
     assert report.is_valid is valid and part in report.summary
+
+
+def test_whole_match_queries_read_every_customer(spark, sf_dir):
+    from fareloom.plans import registry
+
+    queries = registry.queries()
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select((F.col("c_custkey") + 1).alias("id"))
+    want = {r.id for r in customers.collect()}
+    details = queries["match_details_whole"](spark, sf_dir)
+    assert {r.match_id for r in details.select("match_id").collect()} == want
+    assert {r.match_id for r in queries["pointer_backfill_whole"](spark, sf_dir).select("match_id").collect()} == want
+    stale = {r.location_id for r in queries["stale_pointer_whole"](spark, sf_dir).collect()}
+    assert stale == {i for i in want if i % 10 == 0}
+    violations = {r.rule: r.violations for r in queries["foreign_keys_whole"](spark, sf_dir).collect()}
+    assert violations == {"source_zone_id": sum(i % 4 == 0 for i in want), "golden_zone_row_id": len(stale)}
+    odd = queries["match_domains_whole"](spark, sf_dir).first()
+    assert (odd.bad_score, odd.bad_status, odd.bad_operation) == tuple(sum(i % k == 0 for i in want) for k in (9, 12, 7))
