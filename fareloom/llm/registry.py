@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import chat_format, decontamination, piece_tokens, quality_model, quality_rules, secret_scan, sharding, simhash, suffix_dedup, warc
+from fareloom.llm import (
+    chat_format, decontamination, piece_tokens, quality_model, quality_rules, secret_scan, sharding, simhash,
+    suffix_dedup, url_filter, warc, whitening,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +25,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         quality_model.op8_quality_model,
         quality_rules.op9_quality_rules,
         suffix_dedup.op10_suffix_dedup,
+        whitening.op11_embedding_whitening,
+        url_filter.op13_url_filter,
     )
     return {f.__name__: f for f in found}
 
@@ -33,4 +38,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_warc_revisits": warc.oracle_sql(),
         "op7_chat_format": chat_format.oracle_sql(),
         "op9_quality_rules": quality_rules.oracle_sql(),
+        "op13_url_filter": url_filter.oracle_sql(),
     }
