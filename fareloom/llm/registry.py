@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fareloom.llm import (
-    chat_format, decontamination, piece_tokens, quality_model, quality_rules, secret_scan, sharding, simhash,
+    chat_format, conversation_repair, decontamination, piece_tokens, quality_model, quality_rules, secret_scan, sharding, simhash,
     suffix_dedup, url_filter, warc, whitening,
 )
 
@@ -26,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         quality_rules.op9_quality_rules,
         suffix_dedup.op10_suffix_dedup,
         whitening.op11_embedding_whitening,
+        conversation_repair.op12_conversation_repair,
         url_filter.op13_url_filter,
     )
     return {f.__name__: f for f in found}

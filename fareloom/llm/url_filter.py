@@ -184,8 +184,8 @@ def scores(urls: DataFrame, order: int = ORDER) -> DataFrame:
 def calibrated_limit(scored: DataFrame) -> float:
     """The limit that tells held-out accepted URLs (at or above) from rejected ones best, each side counting the same.
 
-    scored (part, score). Of equal limits that nearest to zero is taken, of two such the lower; zero if a side is empty.
-    The limits are steps of 1 / BINS between -FARTHEST and FARTHEST, so the last table has 8,193 rows at most.
+    scored (part, score). Of equally good limits that nearest to zero is taken, of two such the lower; zero if a side is
+    empty. The limits are steps of 1 / BINS between -FARTHEST and FARTHEST, so the last table has 8,193 rows at most.
     """
     far = FARTHEST * BINS
     bins = (
@@ -194,8 +194,10 @@ def calibrated_limit(scored: DataFrame) -> float:
         .filter("a + r > 0")
     )
     whole, below = Window.orderBy(F.lit(1)), Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    # Any step above the bin before and up to this one parts them alike.
+    step = F.greatest(F.least(F.lit(0), "bin"), F.coalesce(F.max("bin").over(below) + 1, F.lit(-far)))
     told = bins.select(
-        "bin",
+        step.alias("step"),
         F.coalesce(F.sum("r").over(below), F.lit(0)).alias("blocked"),
         F.coalesce(F.sum("a").over(below), F.lit(0)).alias("lost"),
         F.sum("a").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("a"),
@@ -203,8 +205,8 @@ def calibrated_limit(scored: DataFrame) -> float:
     ).filter("a > 0 AND r > 0")
     # Whole numbers: blocked / r - lost / a, times a * r.
     gain = F.col("blocked") * F.col("a") - F.col("lost") * F.col("r")
-    best = told.orderBy(gain.desc(), F.abs("bin"), "bin").select("bin").first()
-    return best.bin / BINS if best else 0.0
+    best = told.orderBy(gain.desc(), F.abs("step"), "step").select("step").first()
+    return best.step / BINS if best else 0.0
 
 
 def filter_urls(urls: DataFrame, rules: Sequence[Rule] = RULES, order: int = ORDER) -> DataFrame:
@@ -289,8 +291,8 @@ scored AS (SELECT url, part, sum(ratio)::DOUBLE / count(*) / {SCALE} AS score FR
   WHERE part NOT IN ('accepted', 'rejected') GROUP BY url, part),
 bins AS (SELECT least(greatest(floor(score * {BINS}), -{far}), {far}) AS bin, count(*) FILTER (part = 'held_accepted') AS a,
   count(*) FILTER (part = 'held_rejected') AS r FROM scored WHERE part <> 'open' GROUP BY 1),
-gains AS (SELECT bin, coalesce(sum(r) OVER b, 0) * sum(a) OVER () - coalesce(sum(a) OVER b, 0) * sum(r) OVER () AS gain,
+gains AS (SELECT greatest(least(0, bin), coalesce(max(bin) OVER b + 1, -{far})) AS step, coalesce(sum(r) OVER b, 0) * sum(a) OVER () - coalesce(sum(a) OVER b, 0) * sum(r) OVER () AS gain,
   sum(a) OVER () AS a, sum(r) OVER () AS r FROM bins WINDOW b AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-chosen AS (SELECT coalesce((SELECT bin / {BINS} FROM gains WHERE a > 0 AND r > 0 ORDER BY gain DESC, abs(bin), bin LIMIT 1), 0) AS limit_at)
+chosen AS (SELECT coalesce((SELECT step / {BINS} FROM gains WHERE a > 0 AND r > 0 ORDER BY gain DESC, abs(step), step LIMIT 1), 0) AS limit_at)
 SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN score < limit_at THEN '{BLOCK}' ELSE '{ALLOW}' END) AS verdict
 FROM given JOIN told USING (url) LEFT JOIN scored USING (url) CROSS JOIN chosen"""

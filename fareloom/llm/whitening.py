@@ -42,6 +42,9 @@ HALF = 60
 NULL_SHARE = 2.0**-44
 #: Steps of refinement at most; convergence is quadratic, so a handful is used.
 STEPS = 30
+#: Values closer than this share of the largest are a cluster however small the residual: the iteration divides what long
+#: double rounds off by the gap, and would only stir there.
+CLOSE = 2.0**-36
 
 
 # ---------------------------------------------------------------- whole-number moments, by Spark
@@ -170,27 +173,31 @@ def refine_step(a: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     off = s - np.diag(np.diag(s))
     size = np.sqrt((a * a).sum())
     gap = 2 * (np.sqrt((off * off).sum()) + size * np.sqrt((r * r).sum()))
+    gap = np.maximum(gap, CLOSE * np.abs(values).max())
     apart = values[None, :] - values[:, None]
     told = np.abs(apart) > gap
     e = np.where(told, (s + values[None, :] * r) / np.where(told, apart, 1), r / 2)
     return v + v @ e, values, np.sqrt((e * e).sum()), gap
 
 
-def sub_solve(a: np.ndarray, v: np.ndarray, cluster: np.ndarray) -> np.ndarray:
+def sub_solve(a: np.ndarray, v: np.ndarray, cluster: np.ndarray, mean: np.longdouble) -> np.ndarray:
     """The cluster's vectors turned within their subspace to be eigenvectors of the matrix seen from there.
 
-    Shifted by the mean value and divided by the largest entry, the small matrix spans the gaps alone, so its float64
-    vectors tell values apart that agree in all digits the whole matrix's vectors could see.
+    Shifted by the cluster's mean value before it is projected, and divided by the largest entry, the small matrix spans
+    the gaps alone: its float64 vectors tell values apart that agree in all digits the whole matrix's vectors could see.
     """
     w = v[:, cluster]
-    s = w.T @ (a @ w)
-    s = (s + s.T) / 2 - np.eye(len(cluster), dtype=np.longdouble) * (np.trace(s) / len(cluster))
+    s = w.T @ (a @ w - mean * w)
+    s = (s + s.T) / 2
     most = np.abs(s).max()
     if most == 0:
         return v
     _, turn = np.linalg.eigh((s / most).astype(np.float64))
+    w = w @ turn[:, ::-1].astype(np.longdouble)
+    # The turn is orthogonal in float64 only.
+    w = w + w @ (np.eye(len(cluster), dtype=np.longdouble) - w.T @ w) / 2
     out = v.copy()
-    out[:, cluster] = w @ turn[:, ::-1].astype(np.longdouble)
+    out[:, cluster] = w
     return out
 
 
@@ -203,19 +210,21 @@ def eigenpairs(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     a = a / scale
     _, start = np.linalg.eigh(a.astype(np.float32))
     v = start[:, ::-1].astype(np.longdouble)
-    enough = d * np.finfo(np.longdouble).eps * 8
+    enough, before = d * np.finfo(np.longdouble).eps * 8, np.inf
     for _ in range(STEPS):
         v, values, change, gap = refine_step(a, v)
         order = np.argsort(-values, kind="stable")
         v, values = v[:, order], values[order]
-        groups = _clusters(values, gap)
-        if change < enough:
+        # Done, or down to what rounding stirs up.
+        if change < enough or 1e-6 > before < 2 * change:
             break
-        for group in groups:
-            v = sub_solve(a, v, group)
+        before = change
+        for group in _clusters(values, gap):
+            v = sub_solve(a, v, group, values[group].mean())
     # The last word on a cluster is its own solve; elsewhere it is the iteration.
     for group in _clusters(values, gap):
-        v = sub_solve(a, v, group)
+        v = sub_solve(a, v, group, values[group].mean())
+    v = v + v @ (np.eye(d, dtype=np.longdouble) - v.T @ v) / 2
     v = v / np.sqrt((v * v).sum(axis=0))
     values = (v * (a @ v)).sum(axis=0)
     order = np.argsort(-values, kind="stable")

@@ -57,6 +57,7 @@ def write(spark, folder, docs, empty=False):
         "pages": spark.createDataFrame(pages, "page_id long, url string, html string"),
         "conversations": spark.createDataFrame(talks, "conv_id long, turn long, role string, text string"),
         "benchmark": spark.createDataFrame([(1, PASSAGE), (2, PASSAGE), (3, None), (4, "")], "item_id long, text string"),
+        "embeddings": spark.createDataFrame([(1, [0.5, 1.0]), (None, [0.25, 3.0]), (3, None)], "vec_id long, embedding array<float>"),
         "labels": spark.createDataFrame([(4, 1, 0), (5, 0, 0), (6, None, 0), (99, 1, 1)], "doc_id long, quality int, toxic int"),
     }
     for name, df in tables.items():
