@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from fareloom.functions.numeric import exact_avg
 from fareloom.functions.temporal import elapsed_minutes, elapsed_seconds
 from fareloom.operators.dedupe import duplicate_row_count
-from fareloom.operators.quantiles import exact_quantiles, melt, named, value_counts
+from fareloom.operators.quantiles import exact_quantiles, melt, named, stored_counts, value_counts
 
 # Which columns each section looks at.
 NEGATIVE_MEASURES = (
@@ -96,7 +96,7 @@ def _durations(df: DataFrame) -> DataFrame:
 def duration_quantiles(df: DataFrame) -> DataFrame:
     """95th and 99th percentile of the trip duration in minutes, two decimals."""
     quantiles = exact_quantiles(
-        value_counts(melt(_durations(df), ["duration_seconds"])), [0.95, 0.99]
+        stored_counts(melt(_durations(df), ["duration_seconds"])), [0.95, 0.99]
     )
     return quantiles.select(
         "probability", F.round(F.col("value") / 60.0, 2).alias("duration_minutes")
@@ -140,7 +140,7 @@ def box_plot(
         seconds = elapsed_seconds("tpep_pickup_datetime", "tpep_dropoff_datetime")
         columns.append(seconds.alias("duration_seconds"))
         names.append("duration_seconds")
-    counts = value_counts(melt(df.select(*columns), names))
+    counts = stored_counts(melt(df.select(*columns), names))
 
     def quartile(p: float) -> Column:
         return F.max(F.when(F.col("probability") == p, F.col("value")))
@@ -165,28 +165,159 @@ def box_plot(
     return named(boxes, names)
 
 
+def melt_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Columns of any type as rows: position ``place``, ``text``, and ``number`` to order by.
+
+    ``number`` is NULL for columns that are not numeric. NULL and NaN give no row.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
+
+    def entry(place: int, name: str) -> Column:
+        value = F.col(f"`{name}`")
+        numeric = isinstance(kinds[name], T.NumericType)
+        number = (value if numeric else F.lit(None)).cast("double")
+        return F.struct(
+            F.lit(place).alias("place"), number.alias("number"), value.cast("string").alias("text")
+        )
+
+    entries = F.array(*[entry(place, name) for place, name in enumerate(columns)])
+    real = F.col("text").isNotNull() & ~F.coalesce(F.isnan("number"), F.lit(False))
+    return df.select(F.explode(entries).alias("e")).select("e.*").filter(real)
+
+
 def distinct_values(
     df: DataFrame, columns: Sequence[str] = CATEGORIES, first: int = 20
 ) -> DataFrame:
     """The ``first`` smallest distinct values of each column and how many there are.
 
-    Distinct values are found in parallel and the listed ones by a distributed
-    top-k, so a column with billions of values is never gathered in one task.
+    All columns are found in one scan and one shuffle of their distinct values. Before the
+    few smallest of a column meet, every task has left no more than ``first`` of them, so a
+    column with billions of values is never gathered.
     """
+    values = melt_text(df, columns).groupBy("place", "number", "text").agg(F.count(F.lit(1)).alias("n"))
+    # A filter on row_number lets each task drop all but its first ones before the shuffle.
+    order = Window.partitionBy("place").orderBy("number", "text")
+    least = values.withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= first)
+    listed = least.groupBy("place").agg(
+        F.array_join(F.sort_array(F.collect_list(F.struct("_at", "text"))).getField("text"), ",").alias("first_values")
+    )
+    counts = values.groupBy("place").agg(F.count(F.lit(1)).alias("distinct_count"))
+    names = df.sparkSession.createDataFrame(list(enumerate(columns)), "place int, column_name string")
+    # One row for each column.
+    return names.join(F.broadcast(counts), "place", "left").join(F.broadcast(listed), "place", "left").select(
+        "column_name",
+        F.coalesce("first_values", F.lit("")).alias("first_values"),
+        F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"),
+    )
 
-    def one(name: str) -> DataFrame:
-        values = df.select(F.col(name)).filter(F.col(name).isNotNull()).distinct()
-        listed = values.orderBy(name).limit(first).agg(
-            F.concat_ws(
-                ",", F.transform(F.sort_array(F.collect_list(name)), lambda v: v.cast("string"))
-            ).alias("first_values")
-        )
-        total = values.agg(F.count(F.lit(1))).scalar()
-        return listed.select(
-            F.lit(name).alias("column_name"), "first_values", total.alias("distinct_count")
-        )
 
-    return reduce(DataFrame.unionAll, [one(c) for c in columns])
+DESCRIBED = ("count", "unique", "top", "freq", "mean", "std", "minimum", "q25", "median", "q75", "maximum")
+
+
+def describe(df: DataFrame) -> DataFrame:
+    """A row for each column, with what can be said of its kind.
+
+    Numbers and times: count, mean, standard deviation (of a sample), smallest, quartiles,
+    largest; times in seconds since 1970. All others: count, number of different values,
+    the most frequent one (of several the least) and how often it comes. NaN is missing.
+
+    Moments are mergeable sums and quartiles are exact; different values are counted in
+    parallel, and the most frequent is the largest of their counts.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
+    times = [n for n, k in kinds.items() if isinstance(k, (T.TimestampType, T.TimestampNTZType, T.DateType))]
+    measured = [n for n, k in kinds.items() if isinstance(k, T.NumericType) or n in times]
+    named_ = [n for n in df.columns if n not in measured]
+
+    def number(name: str) -> Column:
+        value = F.col(f"`{name}`")
+        if name in times:
+            return F.unix_micros(value.cast("timestamp")).cast("double") / 1e6
+        return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+
+    parts = [_measured(df.select(*[number(n).alias(n) for n in measured]), measured)] if measured else []
+    if named_:
+        parts.append(_most_frequent(df, named_))
+    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    for name in DESCRIBED:
+        if name not in found.columns:
+            found = found.withColumn(name, F.lit(None).cast("string" if name == "top" else "double"))
+    return found.select("column_name", *DESCRIBED)
+
+
+def _measured(numbers: DataFrame, names: Sequence[str]) -> DataFrame:
+    stats = numbers.agg(
+        *[
+            F.struct(
+                F.lit(place).alias("place"),
+                F.count(F.col(f"`{n}`")).alias("count"),
+                exact_avg(F.col(f"`{n}`")).alias("mean"),
+                F.stddev_samp(F.col(f"`{n}`")).alias("std"),
+                F.min(F.col(f"`{n}`")).alias("minimum"),
+                F.max(F.col(f"`{n}`")).alias("maximum"),
+            ).alias(f"_{place}")
+            for place, n in enumerate(names)
+        ]
+    )
+    rows = stats.select(F.explode(F.array(*stats.columns)).alias("s")).select("s.*")
+
+    def quartile(p: float) -> Column:
+        return F.max(F.when(F.col("probability") == p, F.col("value")))
+
+    quartiles = (
+        exact_quantiles(stored_counts(melt(numbers, [f"`{n}`" for n in names])), [0.25, 0.5, 0.75])
+        .groupBy(F.col("measure").alias("place"))
+        .agg(quartile(0.25).alias("q25"), quartile(0.5).alias("median"), quartile(0.75).alias("q75"))
+    )
+    # A few rows: one for each column.
+    return named(
+        rows.join(F.broadcast(quartiles), "place", "left").withColumnRenamed("place", "measure"), names
+    ).withColumnRenamed("measure", "column_name")
+
+
+def _most_frequent(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    counts = melt_text(df, names).groupBy("place", "text").agg(F.count(F.lit(1)).alias("n"))
+    per_column = counts.groupBy("place").agg(
+        F.sum("n").alias("count"),
+        F.count(F.lit(1)).cast("double").alias("unique"),
+        F.min(F.struct((-F.col("n")).alias("n"), "text")).alias("_first"),
+    )
+    every = df.sparkSession.createDataFrame(list(enumerate(names)), "place int, column_name string")
+    return every.join(F.broadcast(per_column), "place", "left").select(
+        "column_name",
+        F.coalesce("count", F.lit(0)).alias("count"),
+        F.coalesce("unique", F.lit(0.0)).alias("unique"),
+        F.col("_first.text").alias("top"),
+        (-F.col("_first.n")).cast("double").alias("freq"),
+    )
+
+
+#: Bytes of a value of fixed width.
+WIDTHS = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
+
+
+def schema_rows(df: DataFrame) -> DataFrame:
+    """Position, name, type, values and bytes of every column: text by its length, others by their width."""
+
+    def size(name: str, kind: str) -> Column:
+        value = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            return F.coalesce(F.sum(F.octet_length(value)), F.lit(0))
+        return F.count(value) * WIDTHS.get(kind, 8)
+
+    measured = df.agg(
+        *[
+            F.struct(
+                F.lit(place).alias("position"),
+                F.lit(name).alias("column_name"),
+                F.lit(kind).alias("data_type"),
+                F.count(F.col(f"`{name}`")).alias("non_null"),
+                size(name, kind).cast("long").alias("data_bytes"),
+            ).alias(f"_{place}")
+            for place, (name, kind) in enumerate(df.dtypes)
+        ]
+    )
+    return measured.select(F.explode(F.array(*measured.columns)).alias("s")).select("s.*")
 
 
 def numeric_summary(df: DataFrame, measures: Sequence[str] = DISTRIBUTION_MEASURES) -> DataFrame:
@@ -260,5 +391,7 @@ def profile(df: DataFrame) -> dict[str, DataFrame]:
         "box_plot": box_plot(df),
         "distinct": distinct_values(df),
         "numeric": numeric_summary(df),
+        "schema": schema_rows(df),
+        "describe": describe(df),
         "report": quality_report(df),
     }

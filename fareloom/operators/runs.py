@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fareloom.functions.numeric import exact_sum
 from fareloom.functions.temporal import elapsed_seconds
 from fareloom.operators.merge import insert_ignore, new_rows
 
@@ -77,14 +76,17 @@ def collect_runs(runs: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def sync_runs(history: DataFrame, runs: DataFrame) -> DataFrame:
-    """Run history after adding the finished runs it does not hold yet."""
-    return insert_ignore(history, terminal_runs(runs), ["run_id"])
+def sync_runs(history: DataFrame, runs: DataFrame, arrival: str | None = None) -> DataFrame:
+    """Run history after adding the finished runs it does not hold yet.
+
+    Of several deliveries of a new run the first by ``arrival`` enters.
+    """
+    return insert_ignore(history, terminal_runs(runs), ["run_id"], arrival)
 
 
-def added_runs(history: DataFrame, runs: DataFrame) -> DataFrame:
+def added_runs(history: DataFrame, runs: DataFrame, arrival: str | None = None) -> DataFrame:
     """Number of runs a sync adds."""
-    return new_rows(history, terminal_runs(runs), ["run_id"]).agg(
+    return new_rows(history, terminal_runs(runs), ["run_id"], arrival).agg(
         F.count(F.lit(1)).alias("rows_added")
     )
 
@@ -149,26 +151,6 @@ def seconds_of(alarm: Alarm) -> int:
     return int(alarm.period.split()[0])
 
 
-def windowed_metric(points: DataFrame, alarm: Alarm) -> DataFrame:
-    """The alarm's statistic per window of ``points`` (``ts``, ``metric``, ``value``).
-
-    A window without points gives no row, which is how missing data counts as not
-    breaching. ``ts`` must be a timestamp; a stream needs a watermark on it.
-    """
-    statistic = exact_sum("value") if alarm.statistic == "sum" else F.max("value")
-    return (
-        points.filter(F.col("metric") == alarm.metric)
-        .groupBy(F.window("ts", alarm.period).alias("w"))
-        .agg(statistic.alias("value"))
-        .select(
-            F.lit(alarm.name).alias("alarm"),
-            F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-            "value",
-        )
-    )
-
-
 def breaching(metric: DataFrame, alarm: Alarm) -> DataFrame:
     """Windows at or over the threshold, as the alarm compares."""
     over = F.col("value") >= alarm.threshold if alarm.inclusive else F.col("value") > alarm.threshold
