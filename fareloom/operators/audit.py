@@ -19,13 +19,14 @@ def audit_rows(
 ) -> DataFrame:
     """One INSERT record per new version and one UPDATE record per version that a later one closed.
 
-    A version that the same batch opens and closes has both. ``record_id`` is the business key. ``columns`` limits the
-    JSON to some columns.
+    A version that the same batch opens and closes has both. ``record_id`` is the business key. The images are the
+    rows as the history held and holds them, the time of the change in ``updated_at`` included. ``columns`` limits
+    the JSON to some columns.
     """
     names = list(columns or [c for c in merge.replaced.columns if c != "closed_at"])
-    # A version's open and closed state differ in two columns only, so no join is needed.
+    # A version's open and closed state differ in the columns that closing sets, so no join is needed.
     was_open = {"is_current": F.lit(True), "end_date": F.lit(None).cast("timestamp_ntz")}
-    closed = {"is_current": F.lit(False), "end_date": F.col("closed_at")}
+    closed = dict(merge.closing)
 
     def updates_of(versions: DataFrame) -> DataFrame:
         return versions.select(

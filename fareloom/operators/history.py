@@ -8,20 +8,18 @@ id. A merge compares a batch with the current rows and yields the next history.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fareloom.operators.dedupe import semi_join_counted
 from fareloom.operators.keys import assign_ids, highest_id
+from fareloom.operators.slices import SLICE_ROWS, cut_slices, with_slices
 from fareloom.session import shared_dir
 
 INSERTED, UPDATED, NO_CHANGE, ERROR = "INSERTED", "UPDATED", "NO_CHANGE", "ERROR"
 
-#: Arrival numbers are unique, so one (key, slice) group never exceeds this many rows.
-SLICE_ROWS = 1_000_000
-
 #: History columns, where they exist, with the time a row was added and last changed.
 CREATED_AT, UPDATED_AT = "created_at", "updated_at"
 
@@ -36,6 +34,7 @@ class MergeResult:
     ``replaced`` the same rows as they were before the merge, and ``closed_at``
     ``statuses`` number of batch rows by status
     ``rejects``  batch rows that cannot be applied, with ``reason``
+    ``closing``  the columns that closing a version sets, by name, over ``closed_at``
     """
 
     history: DataFrame
@@ -44,6 +43,7 @@ class MergeResult:
     replaced: DataFrame
     statuses: DataFrame
     rejects: DataFrame
+    closing: Mapping[str, Column] = field(default_factory=dict)
 
 
 def empty_history(batch: DataFrame, key: str, attributes: Sequence[str], row_id: str) -> DataFrame:
@@ -69,6 +69,7 @@ def scd2_merge(
     numbered: Sequence[str] = (),
     defaults: Mapping[str, Column] | None = None,
     store_changes: bool = True,
+    slice_rows: int = SLICE_ROWS,
 ) -> MergeResult:
     """Apply ``batch`` (key, attributes, ``record_hash``) to ``history``.
 
@@ -86,8 +87,9 @@ def scd2_merge(
 
     The changes feed the new rows, the closed rows, the audit and the counts. They
     are computed once and stored in the shared folder, which also makes them
-    survive a lost executor; ``store_changes=False`` keeps the merge fully lazy and
-    computes them again for each use.
+    survive a lost executor; ``store_changes=False`` computes them again for each use.
+    With ``arrival`` a batch of more than ``slice_rows`` rows is looked at first, to cut
+    keys of more rows than that into slices.
     """
     when = _effective(effective)
     rejects = batch.filter(F.col(key).isNull()).withColumn(
@@ -99,7 +101,7 @@ def scd2_merge(
         changes, ambiguous = _single_changes(current, keyed, key, attributes, when)
         rejects = rejects.unionByName(ambiguous, allowMissingColumns=True)
     else:
-        changes = _chained_changes(current, keyed, key, attributes, when, arrival)
+        changes = _chained_changes(current, keyed, key, attributes, when, arrival, slice_rows)
     if store_changes:
         path = shared_dir(batch.sparkSession, "scd2-changes")
         changes.write.parquet(path)
@@ -137,6 +139,7 @@ def scd2_merge(
         replaced=replaced_all.withColumnRenamed("_closed_at", "closed_at"),
         statuses=_status_counts(batch, changes, rejects),
         rejects=rejects,
+        closing=closing | {"end_date": F.col("closed_at")},
     )
 
 
@@ -247,17 +250,18 @@ def _chained_changes(
     attributes: Sequence[str],
     when: Column,
     arrival: str,
+    slice_rows: int,
 ) -> DataFrame:
     """Every change of every key, in arrival order.
 
     A row is a change when its hash differs from the row before it. Windows run
-    over (key, slice of arrival numbers), so a key holding a third of the batch
-    is spread over many tasks. Slices are then linked through one summary row
-    each: the last hash going in, the changes so far, and the next change time.
+    over (key, slice), so a key holding a third of the batch is spread over many
+    tasks. Slices have about ``slice_rows`` rows, whether arrivals are dense or far
+    apart. They are then linked through one summary row each: the last hash going
+    in, the changes so far, and the next change time.
     """
-    sliced = keyed.withColumns(
-        {"_slice": F.floor(F.col(arrival) / SLICE_ROWS).cast("long"), "_at": when}
-    )
+    cuts = cut_slices(keyed, key, arrival, slice_rows)
+    sliced = with_slices(keyed, cuts, key, F.col(arrival)).withColumn("_at", when)
     inside = Window.partitionBy(key, "_slice").orderBy(arrival)
     across = Window.partitionBy(key).orderBy("_slice")
 

@@ -14,6 +14,7 @@ from fareloom.operators.backfill import backfill_key
 from fareloom.operators.contract import require_empty, validation_report
 from fareloom.operators.dedupe import keep_one, repeated_keys
 from fareloom.operators.keys import assign_ids
+from fareloom.operators.slices import cut_slices, with_slices
 from fareloom.operators.reference import (
     clean_reference, clean_vendors, hash_vendors, standardise_and_hash,
 )
@@ -156,8 +157,7 @@ def simulate(history, batch):
 
 
 @pytest.mark.parametrize(("seed", "slice_rows", "stored"), [(1, 7, True), (2, 50, False), (3, 1_000_000, True)])
-def test_chained_merge_equals_row_at_a_time(spark, monkeypatch, seed, slice_rows, stored):
-    monkeypatch.setattr(hs, "SLICE_ROWS", slice_rows)
+def test_chained_merge_equals_row_at_a_time(spark, seed, slice_rows, stored):
     rng = random.Random(seed)
     start = dt.datetime(2024, 1, 1)
     # One key holds about half of all rows.
@@ -177,7 +177,7 @@ def test_chained_merge_equals_row_at_a_time(spark, monkeypatch, seed, slice_rows
         rng.sample(batch, len(batch)),
         "vendor_id int, vendor_name string, record_hash string, at timestamp_ntz, seq long")
     result = hs.scd2_merge(history, frame, "vendor_id", ["vendor_name"], F.col("at"), arrival="seq",
-                           row_id="vendor_row_id", store_changes=stored)
+                           row_id="vendor_row_id", store_changes=stored, slice_rows=slice_rows)
     names = list(before[0])
     key = lambda r: (r["vendor_id"], r["version"])
     want = sorted(simulate(before, batch), key=key)
@@ -243,8 +243,8 @@ def test_merges(spark):
         require_empty(target, "stop")
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
-def test_as_of_is_half_open(spark, limit):
+@pytest.mark.parametrize("slice_rows", [1, 3, 1000])
+def test_as_of_is_half_open(spark, slice_rows):
     t = lambda m: dt.datetime(2024, m, 1)
     history = spark.createDataFrame(
         [(1, "old", t(1), t(3)), (1, "new", t(3), None), (2, "only", t(2), None)],
@@ -252,12 +252,55 @@ def test_as_of_is_half_open(spark, limit):
     facts = spark.createDataFrame(
         [(1, t(1)), (1, t(2)), (1, t(3)), (1, t(9)), (2, t(1)), (2, t(2)), (3, t(5)), (None, t(5))],
         "z int, at timestamp_ntz")
-    rows = as_of(facts, history, "z", "at", "k", ["name"], max_broadcast_rows=limit).collect()
+    rows = as_of(facts, history, "z", "at", "k", ["name"], slice_rows=slice_rows).collect()
     assert sorted((str(r.z), r["at"].month, str(r.asof_name)) for r in rows) == [
         ("1", 1, "old"), ("1", 2, "old"), ("1", 3, "new"), ("1", 9, "new"), ("2", 1, "None"),
         ("2", 2, "only"), ("3", 5, "None"), ("None", 5, "None")]
 
 
+def test_as_of_splits_a_hot_key_and_moment(spark):
+    """A third of the facts has one key and month, a quarter one key and moment; some have no key or time."""
+    rng = random.Random(3)
+    start = dt.datetime(2024, 5, 1)
+    times = [start + dt.timedelta(hours=i) for i in range(0, 700, 7)]
+    history = []
+    for k in (1, 2, 3):
+        cuts = sorted(rng.sample(times, 20))
+        history += [(k, f"{k}-{i}", a, b) for i, (a, b) in enumerate(zip(cuts, [*cuts[1:], None])) if i % 5 != 3]
+    facts = [(rng.choice([1, 1, 1, 2, 3, 4, None]), start + dt.timedelta(hours=rng.randint(0, 720)), i) for i in range(2000)]
+    facts += [(1, times[50], i) for i in range(2000, 2700)] + [(2, None, 2700)]
+    want = sorted(
+        (i, next((name for k, name, a, b in history if k == z and at and a <= at and (b is None or at < b)), None))
+        for z, at, i in facts)
+    frame = spark.createDataFrame(facts, "z int, at timestamp_ntz, i int")
+    versions = spark.createDataFrame(history, "k int, name string, effective_date timestamp_ntz, end_date timestamp_ntz")
+    for slice_rows in (50, 300, 100_000):
+        got = as_of(frame, versions, "z", "at", "k", ["name"], slice_rows=slice_rows).collect()
+        assert sorted((r.i, r.asof_name) for r in got) == want
+    # The hot key, and the hot moment in it, are spread over slices of bounded depth.
+    spread = frame.filter("z = 1").withColumn("o", F.struct("at", F.xxhash64("i")))
+    cuts = cut_slices(spread, "z", "o", 100)
+    sizes = [r["count"] for r in with_slices(spread, cuts, "z", F.col("o")).groupBy("_slice").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 300
+
+
+def test_slices_do_not_depend_on_the_scale_of_the_order(spark):
+    """Arrivals in epoch microseconds give as many slices as dense ones, of the same depth."""
+    dense = spark.range(10_000).select(F.when(F.col("id") % 5 < 4, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("n"))
+    sparse = dense.withColumn("n", F.col("n") * 86_400_000_000 + 1_700_000_000_000_000)
+    depths = []
+    for frame in (dense, sparse):
+        cuts = cut_slices(frame, "k", "n", 500)
+        rows = with_slices(frame, cuts, "k", F.col("n")).filter("k = 1").groupBy("_slice").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("n").alias("low"), F.max("n").alias("high")).orderBy("_slice").collect()
+        assert [r["_slice"] for r in rows] == list(range(len(rows)))
+        assert all(a.high < b.low for a, b in zip(rows, rows[1:]))
+        depths.append([r.rows for r in rows])
+    assert abs(len(depths[0]) - len(depths[1])) <= 2 and len(depths[1]) > 10
+    assert max(map(max, depths)) < 1500
+    assert cut_slices(dense, "k", "n", 1_000_000) is None
+
+
 def test_repeated_keys_with_a_hot_and_a_null_key(spark):
     rows = spark.range(9000).select(
         F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 1000 == 1, F.lit(None))
@@ -294,18 +337,18 @@ def test_validation_report(spark, rows, required, key, valid, part):
     assert report.is_valid is valid and part in report.summary
 
 
-def test_whole_match_queries_read_every_customer(spark, sf_dir):
+def test_match_queries_read_every_customer(spark, sf_dir):
     from fareloom.plans import registry
 
     queries = registry.queries()
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select((F.col("c_custkey") + 1).alias("id"))
     want = {r.id for r in customers.collect()}
-    details = queries["match_details_whole"](spark, sf_dir)
+    details = queries["match_details"](spark, sf_dir)
     assert {r.match_id for r in details.select("match_id").collect()} == want
-    assert {r.match_id for r in queries["pointer_backfill_whole"](spark, sf_dir).select("match_id").collect()} == want
-    stale = {r.location_id for r in queries["stale_pointer_whole"](spark, sf_dir).collect()}
+    assert {r.match_id for r in queries["pointer_backfill"](spark, sf_dir).select("match_id").collect()} == want
+    stale = {r.location_id for r in queries["stale_pointer"](spark, sf_dir).collect()}
     assert stale == {i for i in want if i % 10 == 0}
-    violations = {r.rule: r.violations for r in queries["foreign_keys_whole"](spark, sf_dir).collect()}
+    violations = {r.rule: r.violations for r in queries["foreign_keys"](spark, sf_dir).collect()}
     assert violations == {"source_zone_id": sum(i % 4 == 0 for i in want), "golden_zone_row_id": len(stale)}
-    odd = queries["match_domains_whole"](spark, sf_dir).first()
+    odd = queries["match_domains"](spark, sf_dir).first()
     assert (odd.bad_score, odd.bad_status, odd.bad_operation) == tuple(sum(i % k == 0 for i in want) for k in (9, 12, 7))
