@@ -19,12 +19,13 @@ from fareloom.operators.runs import runs_summary
 from fareloom.operators.star import build_star
 from fareloom.operators.tieout import tie_out
 from fareloom.sinks.ingest import ingest
-from fareloom.sinks.versions import VersionedTable
+from fareloom.sinks.versions import version_diff
 from fareloom.streaming.alarms import alarms
 
 __all__ = [
-    "VersionedTable", "alarms", "as_of", "audit_rows", "bi_dataset", "build_star",
+    "alarms", "as_of", "audit_rows", "bi_dataset", "build_star",
     "clean_trips", "gold_summaries", "ingest", "insert_ignore", "match_zones",
     "profile", "resolve_current", "run_checks", "runs_summary", "scd1_merge",
     "scd2_merge", "standardise_and_hash", "tie_out",
+    "version_diff",
 ]

@@ -1,128 +1,37 @@
-"""Versioned tables: every change is a new version, older versions stay readable.
+"""Comparison of snapshots of a table: facts, schema evolution, differences, evidence.
 
-A table is a folder of immutable parquet segments and a small history. A version
-is the list of segments it consists of: an append adds one segment, an update
-rewrites only the segments that hold a matching row. One writer at a time; a
-version exists once its history row is written, so a failed write leaves the
-previous version in force.
+A snapshot is a plain parquet folder that the caller names; what a change does to a table
+is a DataFrame expression, and its result is the next snapshot.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from fareloom.operators.merge import conditional_update
-
-HISTORY_SCHEMA = (
-    "version int, timestamp timestamp, operation string, "
-    "operation_metrics map<string,string>, segments array<string>, columns array<string>"
-)
-
-
-@dataclass(frozen=True)
-class VersionedTable:
-    """A table under ``root``."""
-
-    spark: SparkSession
-    root: str
-
-    def history(self) -> DataFrame:
-        """Versions, oldest first."""
-        try:
-            found = self.spark.read.schema(HISTORY_SCHEMA).json(f"{self.root}/_history")
-        except AnalysisException:
-            found = self.spark.createDataFrame([], HISTORY_SCHEMA)
-        return found.orderBy("version")
-
-    def latest(self) -> int | None:
-        """Number of the newest version, None for a table not yet created."""
-        return self.history().agg(F.max("version")).first()[0]
-
-    def create(self, df: DataFrame) -> int:
-        """Write ``df`` as version 0; a table that exists already is refused."""
-        if self.latest() is not None:
-            raise ValueError(f"{self.root} already holds a table; choose a new root to start over")
-        segment = self._write(df, 0)
-        return self._commit(0, "CREATE", [segment], df.columns, {})
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The newest version, or the one asked for, under its own columns."""
-        entry = self._entry(version)
-        return self._segments(entry.segments).select(*entry.columns)
-
-    def append(self, df: DataFrame) -> int:
-        """Add rows; new columns join the schema and read NULL for older rows."""
-        entry = self._entry(None)
-        version = entry.version + 1
-        segment = self._write(df, version)
-        columns = [*entry.columns, *[c for c in df.columns if c not in entry.columns]]
-        rows = self.spark.read.parquet(f"{self.root}/{segment}").count()
-        return self._commit(
-            version, "APPEND", [*entry.segments, segment], columns, {"rows_added": str(rows)}
-        )
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def keep_snapshot(df: DataFrame, path: str) -> DataFrame:
+    """Write a snapshot and read it back; a folder that exists already is refused."""
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
-    def update(self, condition: Column, values: Mapping[str, Column]) -> int:
-        """Set columns where ``condition`` holds; untouched segments are shared with the last version."""
-        entry = self._entry(None)
-        version = entry.version + 1
-        hits = self._matches(entry.segments, condition)
-        segments = [s for s in entry.segments if s not in hits]
-        if hits:
-            rows = self._segments(sorted(hits))
-            segments.append(self._write(conditional_update(rows, condition, values), version))
-        metrics = {"rows_updated": str(sum(hits.values())), "segments_rewritten": str(len(hits))}
-        return self._commit(version, "UPDATE", segments, entry.columns, metrics)
-
-    def overwrite(self, df: DataFrame, operation: str = "OVERWRITE") -> int:
-        """Replace the content, for example by the next state computed from this version."""
-        entry = self._entry(None)
-        version = entry.version + 1
-        segment = self._write(df, version)
-        return self._commit(version, operation, [segment], df.columns, {})
-
-    def _entry(self, version: int | None):
-        wanted = self.latest() if version is None else version
-        rows = self.history().filter(F.col("version") == F.lit(wanted)).take(1)
-        if not rows:
-            raise ValueError(f"{self.root} has no version {wanted}")
-        return rows[0]
-
-    def _segments(self, names: Sequence[str]) -> DataFrame:
-        """Rows of some segments; a column a segment lacks reads NULL."""
-        paths = [f"{self.root}/{name}" for name in names]
-        return self.spark.read.option("mergeSchema", "true").parquet(*paths)
-
-    def _matches(self, names: Sequence[str], condition: Column) -> dict[str, int]:
-        """Number of matching rows of every segment that has any, counted in one job."""
-        segment = F.regexp_extract(F.col("_metadata.file_path"), "(data/v[0-9]+)/", 1)
-        found = self._segments(names).filter(condition).groupBy(segment.alias("segment")).count()
-        return {row["segment"]: row["count"] for row in found.collect()}
-
-    def _write(self, df: DataFrame, version: int) -> str:
-        segment = f"data/v{version}"
-        df.write.mode("overwrite").parquet(f"{self.root}/{segment}")
-        return segment
-
-    def _commit(
-        self,
-        version: int,
-        operation: str,
-        segments: Sequence[str],
-        columns: Sequence[str],
-        metrics: Mapping[str, str],
-    ) -> int:
-        row = self.spark.createDataFrame(
-            [(version, operation, dict(metrics), list(segments), list(columns))],
-            "version int, operation string, operation_metrics map<string,string>, "
-            "segments array<string>, columns array<string>",
-        ).withColumn("timestamp", F.current_timestamp())
-        row.coalesce(1).write.mode("append").json(f"{self.root}/_history")
-        return version
+def appended(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """The table with further rows; a column that only they have reads NULL in the others."""
+    return table.unionByName(rows, allowMissingColumns=True)
+
+
+def operations(done: Sequence[tuple[int, str, DataFrame]]) -> DataFrame:
+    """One row for each snapshot: version, operation and row count."""
+    rows = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(version).alias("version"), F.lit(operation).alias("operation"), "row_count"
+        )
+        for version, operation, df in done
+    ]
+    return reduce(DataFrame.unionAll, rows)
 
 
 def snapshot_facts(
@@ -148,12 +57,12 @@ def snapshot_facts(
 
 def evolution_checks(
     first: DataFrame, second: DataFrame, current: DataFrame, history: DataFrame,
-    updated_value: str, appended: DataFrame,
+    updated_value: str, added: DataFrame,
 ) -> DataFrame:
     """Eight assertions over create, update and evolving append, as (check_name, passed).
 
-    The first three frames come from :func:`snapshot_facts`; ``appended`` is a
-    one-cell frame with the number of rows the append added.
+    The first three frames come from :func:`snapshot_facts`, ``history`` from
+    :func:`operations`; ``added`` is a one-cell frame with the number of rows the append added.
     """
     def cell(df: DataFrame, name: str) -> Column:
         return df.select(name).scalar()
@@ -166,7 +75,7 @@ def evolution_checks(
         "v0_retains_original_value": ~cell(first, "probe_value").eqNullSafe(F.lit(updated_value)),
         "v1_shows_updated_value": cell(second, "probe_value").eqNullSafe(F.lit(updated_value)),
         "row_count_grew_by_appended_rows":
-            cell(current, "row_count") == cell(first, "row_count") + appended.scalar(),
+            cell(current, "row_count") == cell(first, "row_count") + added.scalar(),
         "pre_evolution_rows_null_in_new_column":
             cell(current, "null_in_evolved_column") == cell(first, "row_count"),
     }
@@ -178,9 +87,9 @@ def evolution_checks(
     return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
-def evidence(table: VersionedTable, facts: Sequence[DataFrame], checks: DataFrame, path: str) -> None:
+def evidence(history: DataFrame, facts: Sequence[DataFrame], checks: DataFrame, path: str) -> None:
     """Write history, snapshot facts, checks and the overall verdict as JSON under ``path``."""
-    table.history().write.mode("overwrite").json(f"{path}/history")
+    history.write.mode("overwrite").json(f"{path}/history")
     reduce(DataFrame.unionByName, facts).write.mode("overwrite").json(f"{path}/snapshots")
     checks.write.mode("overwrite").json(f"{path}/checks")
     checks.agg(F.bool_and("passed").alias("all_passed")).write.mode("overwrite").json(

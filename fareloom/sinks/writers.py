@@ -9,12 +9,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from fareloom.operators.contract import require_row_count
 from fareloom.operators.gold import gold_cube, gold_summaries
 from fareloom.operators.star import Star
-from fareloom.operators.tieout import row_count_manifest
 
 COMPRESSION = "snappy"
 
@@ -56,10 +55,28 @@ def publish_gold(trips: DataFrame, root: str) -> list[str]:
     return write_many({name: (df, f"{root}/{name}", ()) for name, df in summaries.items()})
 
 
-def write_snapshot(df: DataFrame, path: str, files: int | None = None) -> None:
-    """A parquet snapshot in ``files`` files, or one file for a small table."""
-    shaped = df.repartition(files) if files else df.coalesce(1)
-    shaped.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+def write_snapshot(df: DataFrame, path: str, target_bytes: int | None = None) -> None:
+    """A parquet snapshot in as many files as its bytes need.
+
+    The rows are shuffled, and adaptive execution joins or cuts the partitions by their
+    measured bytes: a small table is one file, a large one is never written by one task.
+    ``target_bytes`` is the size aimed at, before compression by the file format; without
+    it the session's ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` holds. What one
+    input partition sends to one shuffle partition is not cut further.
+    """
+    spark = df.sparkSession
+    settings = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    if target_bytes:
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(target_bytes)
+        settings["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = str(min(target_bytes, 1 << 20))
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df.hint("rebalance").write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def sorted_by_time(df: DataFrame, column: str, partitions: int | None = None) -> DataFrame:
@@ -74,6 +91,31 @@ def sorted_by_time(df: DataFrame, column: str, partitions: int | None = None) ->
     return ranged.sortWithinPartitions(column).drop("_spread")
 
 
+def order_violations(df: DataFrame, column: str) -> DataFrame:
+    """Whether stored files are in the order of ``column``: violations of two rules, zero for both if so.
+
+    ``df`` is a plain scan of parquet files. ``inside_files`` counts rows smaller than the row
+    before them in their file, by the file's own row numbers. ``between_files`` counts files
+    whose range begins before that of the files before it ends, so that one value could be
+    in several; files may share an end. NULLs are left out.
+    """
+    placed = df.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), F.col(column).alias("value")
+    ).filter(F.col("value").isNotNull())
+    # A file is what one task wrote; its rows are in one task here as well.
+    before = F.lag("value").over(Window.partitionBy("file").orderBy("row"))
+    inside = placed.withColumn("_before", before).agg(
+        F.count_if(F.col("value") < F.col("_before")).alias("violations")
+    )
+    files = placed.groupBy("file").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    # One row for each file.
+    reach = F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))
+    between = files.withColumn("_reach", reach).agg(F.count_if(F.col("low") < F.col("_reach")).alias("violations"))
+    return inside.select(F.lit("inside_files").alias("rule"), "violations").unionAll(
+        between.select(F.lit("between_files").alias("rule"), "violations")
+    )
+
+
 def publish_star(
     star: Star, root: str, expected: Mapping[str, int], *, fact_files: int | None = None
 ) -> dict[str, str]:
@@ -93,19 +135,6 @@ def publish_star(
     return {name: f"{root}/{name}" for name in [*tables, "fact_trips"]}
 
 
-def load_warehouse(spark: SparkSession, paths: Mapping[str, str], database: str) -> DataFrame:
-    """Full-refresh load: stage all tables, swap them in, analyse, and report row counts."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    for name, path in paths.items():
-        staged = spark.read.parquet(path)
-        staged.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}__staged")
-    for name in paths:
-        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
-        spark.sql(f"ALTER TABLE `{database}`.`{name}__staged` RENAME TO `{database}`.`{name}`")
-        spark.sql(f"ANALYZE TABLE `{database}`.`{name}` COMPUTE STATISTICS FOR ALL COLUMNS")
-    return row_count_manifest({name: spark.table(f"{database}.{name}") for name in paths})
-
-
 @dataclass(frozen=True)
 class RunSummary:
     """Outcome of one job run."""

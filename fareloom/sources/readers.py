@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fareloom.sources.spec import SourceSpec
@@ -21,9 +24,86 @@ RUN_SCHEMA = (
 )
 
 
+#: What Spark says when files disagree on a type.
+UNMERGEABLE = "CANNOT_MERGE_SCHEMAS"
+
+
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Raw trip files, columns merged over all files."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """Raw trip files under a folder, columns merged over all files.
+
+    Where files disagree on the type of a column, it is read as the type that holds both
+    (:func:`wider_type`), one scan for each different schema.
+    """
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except (PySparkException, Py4JJavaError) as error:
+        if UNMERGEABLE not in str(error):
+            raise
+    files = sorted(spark.read.parquet(path).inputFiles())
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, members in _schema_groups(spark, files, path):
+        groups.setdefault(schema.json(), (schema, []))[1].extend(members)
+    merged: dict[str, T.DataType] = {}
+    for schema, _ in groups.values():
+        for field in schema:
+            known = merged.get(field.name)
+            merged[field.name] = wider_type(known, field.dataType) if known else field.dataType
+    scans = [
+        spark.read.option("basePath", path).schema(schema).parquet(*members).select(
+            *[
+                (F.col(f"`{name}`") if name in schema.names else F.lit(None)).cast(kind).alias(name)
+                for name, kind in merged.items()
+            ]
+        )
+        for schema, members in groups.values()
+    ]
+    return reduce(DataFrame.unionAll, scans)
+
+
+def _schema_groups(
+    spark: SparkSession, files: list[str], base: str
+) -> list[tuple[T.StructType, list[str]]]:
+    """Files in groups that Spark can merge, with the merged schema.
+
+    Halves are tried until they merge. Types usually change once or twice in the life of a
+    source, so a few attempts do; footers are read in parallel by Spark.
+    """
+    reader = spark.read.option("basePath", base).option("mergeSchema", "true")
+    try:
+        return [(reader.parquet(*files).schema, files)]
+    except (PySparkException, Py4JJavaError) as error:
+        if len(files) == 1 or UNMERGEABLE not in str(error):
+            raise
+    middle = len(files) // 2
+    return _schema_groups(spark, files[:middle], base) + _schema_groups(spark, files[middle:], base)
+
+
+_WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+_DIGITS = {T.ByteType(): 3, T.ShortType(): 5, T.IntegerType(): 10, T.LongType(): 19}
+
+
+def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that values of both are read as.
+
+    The longer of two whole-number types; double for a whole number or decimal and a
+    float or double; a decimal with room for both sides; a timestamp for a date and a
+    timestamp; text for any other pair.
+    """
+    if a == b:
+        return a
+    if a in _WHOLE and b in _WHOLE:
+        return max(a, b, key=_WHOLE.index)
+    numeric = isinstance(a, T.NumericType) and isinstance(b, T.NumericType)
+    if numeric and isinstance(a, T.FractionalType) | isinstance(b, T.FractionalType):
+        if any(isinstance(t, (T.FloatType, T.DoubleType)) for t in (a, b)):
+            return T.DoubleType()
+        p = [(_DIGITS[t], 0) if t in _DIGITS else (t.precision - t.scale, t.scale) for t in (a, b)]
+        scale, whole = max(p[0][1], p[1][1]), max(p[0][0], p[1][0])
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.DoubleType()
+    times = (T.TimestampNTZType, T.TimestampType)
+    if isinstance(a, (T.DateType, *times)) and isinstance(b, (T.DateType, *times)):
+        return next(t for t in (a, b) if isinstance(t, times))
+    return T.StringType()
 
 
 _KNOWN_SCHEMAS: dict[str, T.StructType] = {}

@@ -4,16 +4,18 @@ import datetime as dt
 import glob
 import json
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from fareloom.operators import runs as rn
+from fareloom.operators.merge import conditional_update
 from fareloom.operators.star import build_star
 from fareloom.operators.clean import silver
 from fareloom.session import broadcast_if_small, shared_dir
-from fareloom.sinks import versions as vs, writers as wr
+from fareloom.sinks import loads as ld, versions as vs, writers as wr
 from fareloom.sinks.ingest import ingest
 from fareloom.sources import readers as rd
 from fareloom.sources.catalog import register_table, register_views
@@ -183,17 +185,100 @@ def test_warehouse_load_and_catalog(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS wh LOCATION '{tmp_path}/wh'")
     cleaned, star = small_star(spark)
     paths = wr.publish_star(star, str(tmp_path / "star"), {})
+    assert ld.current_load(spark, "wh") is None
     for _ in range(2):
-        counts = {r.table_name: r.row_count for r in wr.load_warehouse(spark, paths, "wh").collect()}
+        counts = {r.table_name: r.row_count for r in ld.load_warehouse(spark, paths, "wh").collect()}
         assert counts == {"dim_date": 3, "dim_payment": 7, "dim_zone": 2, "fact_trips": 2}
-    stats = spark.sql("DESCRIBE EXTENDED wh.fact_trips").filter("col_name = 'Statistics'").first()
+    load = ld.current_load(spark, "wh")
+    stats = spark.sql(f"DESCRIBE EXTENDED {load.table_name('fact_trips')}").filter("col_name = 'Statistics'").first()
     assert "2 rows" in stats.data_type
+    with pytest.raises(ValueError, match="no table dim_vendor"):
+        load.table_name("dim_vendor")
     wr.write_silver(cleaned, str(tmp_path / "silver"))
     name = register_table(spark, "wh", "silver", str(tmp_path / "silver"))
     assert spark.sql(f"SELECT count(*) FROM {name} WHERE pickup_year = 2025").first()[0] == 2
+    # The first load's tables go; those of the current one and others in the database stay.
+    assert ld.drop_other_loads(spark, "wh") == ["dim_date", "dim_payment", "dim_zone", "fact_trips"]
+    assert load.read(spark, "fact_trips").count() == 2 and spark.sql(f"SELECT count(*) FROM {name}").first()[0] == 2
+    load.attach(spark)
+    assert spark.sql("SELECT count(*) FROM fact_trips JOIN dim_zone ON location_id = pickup_location_id").first()[0] == 2
     spark.sql("DROP DATABASE wh CASCADE")
 
 
+def test_a_failing_load_is_never_seen(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE half LOCATION '{tmp_path}/half'")
+    for side in ("old", "new"):
+        for name in ("a", "b"):
+            spark.createDataFrame([(f"{side} {name}",)], "v string").write.parquet(f"{tmp_path}/{side}/{name}")
+    paths = lambda side: {name: f"{tmp_path}/{side}/{name}" for name in ("a", "b")}
+    ld.load_warehouse(spark, paths("old"), "half")
+    before = ld.current_load(spark, "half")
+    with pytest.raises(PySparkException):
+        ld.load_warehouse(spark, paths("new") | {"b": f"{tmp_path}/new/absent"}, "half")
+    assert ld.current_load(spark, "half") == before
+    staged = ld.stage_load(spark, paths("new"), "half")
+    reader = ld.current_load(spark, "half").frames(spark)
+    ld.publish_load(spark, staged)
+    # A reader that opened the old load still has both of its tables; the next one has both new ones.
+    assert [reader[n].first().v for n in ("a", "b")] == ["old a", "old b"]
+    now = ld.current_load(spark, "half").frames(spark)
+    assert [now[n].first().v for n in ("a", "b")] == ["new a", "new b"]
+    assert ld.drop_other_loads(spark, "half", keep=(before,)) == ["a"]  # what the failed load left
+    spark.sql("DROP DATABASE half CASCADE")
+
+
+def test_snapshot_files_follow_the_bytes(spark, tmp_path):
+    rows = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    for target, least, most in ((1 << 20, 10, 40), (1 << 30, 1, 1)):
+        path = str(tmp_path / str(target))
+        wr.write_snapshot(rows, path, target_bytes=target)
+        sizes = [os.path.getsize(f) for f in glob.glob(f"{path}/*.parquet")]
+        assert least <= len(sizes) <= most and max(sizes) < 2 * target
+        assert spark.read.parquet(path).agg(F.sum("id")).first()[0] == sum(range(200_000))
+
+
+def test_order_proof_finds_planted_rows(spark, tmp_path):
+    rows = spark.range(5000).select(F.timestamp_seconds(F.col("id") * 17 % 5000).alias("ts"), "id")
+
+    def found(df, name):
+        df.write.parquet(f"{tmp_path}/{name}")
+        stored = spark.read.parquet(f"{tmp_path}/{name}")
+        return {r.rule: r.violations for r in wr.order_violations(stored, "ts").collect()}
+
+    ordered = wr.sorted_by_time(rows, "ts", 4)
+    assert found(ordered, "ordered") == {"inside_files": 0, "between_files": 0}
+    # One row moved to the start of the first file's order, as an appended file of its own.
+    spark.createDataFrame([(dt.datetime(1970, 1, 1, 0, 30), 1)], "ts timestamp, id long").write.mode("append").parquet(f"{tmp_path}/ordered")
+    stored = spark.read.parquet(f"{tmp_path}/ordered")
+    assert {r.rule: r.violations for r in wr.order_violations(stored, "ts").collect()} == {"inside_files": 0, "between_files": 1}
+    backwards = rows.repartitionByRange(3, "ts").sortWithinPartitions(F.desc("ts"))
+    bad = found(backwards, "backwards")
+    assert bad["inside_files"] > 4000 and bad["between_files"] == 0
+    nulls = rows.withColumn("ts", F.lit(None).cast("timestamp"))
+    assert found(nulls, "nulls") == {"inside_files": 0, "between_files": 0}
+
+
+def test_files_of_different_types_are_widened(spark, tmp_path):
+    root = str(tmp_path / "t")
+    shapes = [
+        ("a int, b float, c date, d decimal(5,2), e int", (1, 0.5, dt.date(2025, 1, 1), Decimal("1.25"), 7)),
+        ("a long, b double, c timestamp_ntz, d decimal(9,4), e string", (1 << 40, 0.1, dt.datetime(2025, 1, 2, 3), Decimal("2.5001"), "x")),
+        ("a int, b int, d int", (3, 4, 5)),
+        ("a long, f string", (4, "only here")),
+    ]
+    for part, (schema, row) in enumerate(shapes):
+        spark.createDataFrame([row], schema).write.parquet(f"{root}/part={part}")
+    got = rd.read_trips(spark, root)
+    kinds = dict(got.dtypes)
+    assert kinds == {"a": "bigint", "b": "double", "c": "timestamp_ntz", "d": "decimal(14,4)", "e": "string", "f": "string", "part": "int"}
+    rows = {r.part: r for r in got.collect()}
+    assert [rows[p].a for p in range(4)] == [1, 1 << 40, 3, 4]
+    assert [rows[p].b for p in range(4)] == [0.5, 0.1, 4.0, None]
+    assert rows[0].c == dt.datetime(2025, 1, 1) and rows[1].c == dt.datetime(2025, 1, 2, 3) and rows[2].c is None
+    assert [rows[p].d for p in range(4)] == [Decimal("1.2500"), Decimal("2.5001"), Decimal("5.0000"), None]
+    assert [rows[p].e for p in range(4)] == ["7", "x", None, None] and rows[3].f == "only here"
+
+
 def test_run_summary_row(spark, tmp_path):
     summary = wr.RunSummary("zones", "SUCCEEDED", dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 1, 0, 1), 3, 2, 1)
     wr.append_run_summary(spark, summary, str(tmp_path / "log"))
@@ -215,51 +300,29 @@ def zone_rows(spark, n=20):
         F.col("id").cast("int").alias("location_id"), F.lit("B").alias("borough"), F.lit("S").alias("service_zone"))
 
 
-def test_versions(spark, tmp_path):
-    table = vs.VersionedTable(spark, str(tmp_path / "v"))
-    assert table.latest() is None
-    assert table.create(zone_rows(spark)) == 0
-    with pytest.raises(ValueError, match="already holds"):
-        table.create(zone_rows(spark))
+def test_snapshots_and_their_difference(spark, tmp_path):
+    first = vs.keep_snapshot(zone_rows(spark), f"{tmp_path}/a")
+    with pytest.raises(PySparkException, match="ALREADY_EXISTS"):
+        vs.keep_snapshot(zone_rows(spark), f"{tmp_path}/a")
     extra = spark.createDataFrame([(900, "DEMO", "Demo", "airport")],
                                   "location_id int, borough string, service_zone string, zone_category string")
-    assert table.append(extra) == 1
-    assert table.update(F.col("location_id") == 1, {"service_zone": F.lit("NEW")}) == 2
-    history = table.history().collect()
-    assert [r.operation for r in history] == ["CREATE", "APPEND", "UPDATE"]
-    # The update rewrote the first segment and shares the appended one.
-    assert history[1].segments[1] in history[2].segments and history[0].segments[0] not in history[2].segments
-    assert history[2].operation_metrics == {"rows_updated": "1", "segments_rewritten": "1"}
-    assert table.read(0).columns == ["location_id", "borough", "service_zone"]
-    assert {r.service_zone for r in table.read(0).collect()} == {"S"}
-    now = {r.location_id: r for r in table.read().collect()}
+    second = vs.keep_snapshot(
+        vs.appended(conditional_update(first, F.col("location_id") == 1, {"service_zone": F.lit("NEW")}), extra), f"{tmp_path}/b")
+    assert [tuple(r) for r in vs.operations([(0, "CREATE", first), (1, "APPEND", second)]).collect()] == [
+        (0, "CREATE", 20), (1, "APPEND", 21)]
+    now = {r.location_id: r for r in second.collect()}
     assert now[1].service_zone == "NEW" and now[2].zone_category is None and now[900].zone_category == "airport"
     diff = {r.location_id: (r.change, r.changed_columns)
-            for r in vs.version_diff(table.read(0), table.read(), ["location_id"]).collect()}
+            for r in vs.version_diff(first, second, ["location_id"]).collect()}
     assert diff == {1: ("changed", "service_zone"), 900: ("added", None)}
-    back = vs.version_diff(table.read(), table.read(0), ["location_id"]).filter("location_id = 900").first()
+    back = vs.version_diff(second, first, ["location_id"]).filter("location_id = 900").first()
     assert back.change == "removed"
-    assert table.overwrite(table.read(0), "RESTORE") == 3 and table.read().count() == 20
-    with pytest.raises(ValueError, match="no version 9"):
-        table.read(9)
-
-
-def test_unfinished_version_is_not_seen(spark, tmp_path):
-    table = vs.VersionedTable(spark, str(tmp_path / "v"))
-    table.create(zone_rows(spark))
-    # Data written without a history row, as after a crash.
-    zone_rows(spark, 5).write.parquet(str(tmp_path / "v/data/v1"))
-    assert table.latest() == 0 and table.read().count() == 20
-    table.append(zone_rows(spark, 3))
-    assert table.read().count() == 23
 
 
 def test_evidence_document(spark, tmp_path):
-    table = vs.VersionedTable(spark, str(tmp_path / "v"))
-    table.create(zone_rows(spark))
-    facts = vs.snapshot_facts(table.read(), "v0", F.col("location_id") == 1, "service_zone", "zone_category")
+    facts = vs.snapshot_facts(zone_rows(spark), "v0", F.col("location_id") == 1, "service_zone", "zone_category")
     checks = spark.createDataFrame([("x", True), ("y", False)], "check_name string, passed boolean")
-    vs.evidence(table, [facts], checks, str(tmp_path / "e"))
+    vs.evidence(vs.operations([(0, "CREATE", zone_rows(spark))]), [facts], checks, str(tmp_path / "e"))
     assert spark.read.json(str(tmp_path / "e/verdict")).first().all_passed is False
 
 
