@@ -1,10 +1,9 @@
 """Trips, zones, vendors and runs derived from the driver's tables.
 
 Each input exists twice: as a DataFrame and as SQL text for the comparison
-engine. Both state the same definition. Every input covers the whole table, but
-for `customer_matches`, which has every third customer zone (`every_match` has
-all); the other modulo conditions only decide which rows carry a change, a
-fault or a repeat.
+engine. Both state the same definition, over the whole table. Modulo conditions
+only decide which rows carry a change, a fault or a repeat; in `customer_matches`
+they decide which pairs are present already when matching runs.
 """
 
 from __future__ import annotations

@@ -148,8 +148,8 @@ register(
 )
 
 
-def wide_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both batches merged into a history with ids, times and a remark of its own."""
+def wide_merge(spark: SparkSession, sf_dir: str) -> hs.MergeResult:
+    """The second of two batches merged into a history with ids, times and a remark of its own."""
     first, second = (standard_batch(spark, sf_dir, later) for later in (False, True))
     history = hs.empty_history(first, "location_id", ZONE_ATTRIBUTES, "golden_zone_row_id").withColumns({
         "golden_id": F.lit(None).cast("int"),
@@ -159,11 +159,16 @@ def wide_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         "origin": F.lit(None).cast("string"),
     })
     for batch, when in ((first, FIRST_TIME), (second, SECOND_TIME)):
-        history = hs.scd2_merge(
+        merged = hs.scd2_merge(
             history, batch, "location_id", ZONE_ATTRIBUTES, when, recorded=when,
             numbered=["golden_id"], defaults={"origin": F.lit("batch")},
-        ).history
-    return history
+        )
+        history = merged.history
+    return merged
+
+
+def wide_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wide_merge(spark, sf_dir).history
 
 
 def with_id_order(history: DataFrame) -> DataFrame:
@@ -243,6 +248,57 @@ register(
 )
 
 
+WIDE_FIELDS = ("location_id", "version", "is_current", "end_date", "created_at", "updated_at", "origin")
+
+
+def wide_json_sql(version: str, closed: bool, created: str, updated: str) -> str:
+    stamp = lambda t: f"""'"{t}T00:00:00.000"'"""
+    end = stamp(SECOND_TIME) if closed else "'null'"
+    return (
+        f"""'{{"location_id":' || CAST(location_id AS VARCHAR) || ',"version":{version},"is_current":"""
+        f"""{'false' if closed else 'true'},"end_date":' || {end} || ',"created_at":' || {stamp(created)}"""
+        f""" || ',"updated_at":' || {stamp(updated)} || ',"origin":"batch"}}'"""
+    )
+
+
+register(
+    "scd2_audit_wide",
+    f"""
+    SELECT CAST(location_id AS VARCHAR) AS record_id, 'UPDATE' AS operation, end_date AS changed_at,
+           {wide_json_sql('1', False, FIRST_TIME, FIRST_TIME)} AS old_values,
+           {wide_json_sql('1', True, FIRST_TIME, SECOND_TIME)} AS new_values
+    FROM versions WHERE end_date IS NOT NULL
+    UNION ALL
+    SELECT CAST(location_id AS VARCHAR), 'INSERT', effective_date, NULL,
+           CASE version WHEN 1 THEN {wide_json_sql('1', False, SECOND_TIME, SECOND_TIME)}
+                        ELSE {wide_json_sql('2', False, SECOND_TIME, SECOND_TIME)} END
+    FROM versions WHERE effective_date = TIMESTAMP '{SECOND_TIME}'
+    """,
+    BATCHES_SQL,
+)(
+    lambda s, d: audit_rows(
+        wide_merge(s, d), "location_id", "golden_zones", "loader", WIDE_FIELDS
+    ).select("record_id", "operation", "changed_at", "old_values", "new_values")
+)
+
+# The images of closed versions, held against the history's own rows: none differs.
+register(
+    "scd2_audit_images",
+    "SELECT COUNT(*) AS closed_versions, CAST(0 AS BIGINT) AS differing FROM versions WHERE end_date IS NOT NULL",
+    BATCHES_SQL,
+)(lambda s, d: audit_differences(wide_merge(s, d)))
+
+
+def audit_differences(merged: hs.MergeResult) -> DataFrame:
+    """Closed versions, and how many of them have an audit image that is not the history's row."""
+    names = list(merged.expired.columns)
+    images = audit_rows(merged, "location_id", "golden_zones", "loader", names).filter("operation = 'UPDATE'")
+    rows = merged.expired.select(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("row"))
+    return images.join(rows, F.col("new_values") == F.col("row"), "left").agg(
+        F.count(F.lit(1)).alias("closed_versions"), F.count_if(F.col("row").isNull()).alias("differing")
+    )
+
+
 def event_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a change of its user's state; one user may change very often."""
     return table(spark, sf_dir, "events").select(
@@ -312,6 +368,44 @@ register(
                     ('closed_but_current'), ('several_current'), ('version_gap')) v(rule)""",
 )(lambda s, d: hs.history_violations(event_chain(s, d).history, "vendor_id"))
 
+FAULTY_SQL = BATCHES_SQL + """,
+faulty AS (
+  SELECT location_id, CASE WHEN location_id % 11 = 0 AND version = 1 THEN 5 ELSE version END AS version,
+         is_current OR (location_id % 7 = 0 AND version = 1) AS is_current,
+         CASE WHEN location_id % 17 <> 0 THEN effective_date END AS effective_date,
+         CASE WHEN location_id % 13 = 0 AND is_current THEN effective_date ELSE end_date END AS end_date
+  FROM versions),
+per_key AS (
+  SELECT COUNT(*) FILTER (WHERE is_current) AS currents, COUNT(*) AS n, min(version) AS low, max(version) AS high,
+         COUNT(DISTINCT version) AS versions
+  FROM faulty GROUP BY location_id)"""
+
+register(
+    "scd2_invariants_faulty",
+    """SELECT 'missing_columns' AS rule,
+              COUNT(*) FILTER (WHERE version IS NULL OR is_current IS NULL OR effective_date IS NULL) AS violations FROM faulty
+       UNION ALL SELECT 'version_below_one', COUNT(*) FILTER (WHERE version < 1) FROM faulty
+       UNION ALL SELECT 'empty_interval', COUNT(*) FILTER (WHERE end_date <= effective_date) FROM faulty
+       UNION ALL SELECT 'closed_but_current', COUNT(*) FILTER (WHERE is_current AND end_date IS NOT NULL) FROM faulty
+       UNION ALL SELECT 'several_current', COUNT(*) FILTER (WHERE currents > 1) FROM per_key
+       UNION ALL SELECT 'version_gap', COUNT(*) FILTER (WHERE versions <> n OR high - low + 1 <> n) FROM per_key""",
+    FAULTY_SQL,
+)(lambda s, d: hs.history_violations(faulty_history(s, d), "location_id"))
+
+
+def faulty_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history with gaps, several current rows, closed current rows and missing times."""
+    key, history = F.col("location_id"), second_load(spark, sf_dir).history
+    ended = F.when((key % 13 == 0) & F.col("is_current"), F.col("effective_date")).otherwise(F.col("end_date"))
+    return history.select(
+        "location_id",
+        F.when((key % 11 == 0) & (F.col("version") == 1), 5).otherwise(F.col("version")).alias("version"),
+        (F.col("is_current") | ((key % 7 == 0) & (F.col("version") == 1))).alias("is_current"),
+        F.when(key % 17 != 0, F.col("effective_date")).alias("effective_date"),
+        ended.alias("end_date"),
+    )
+
+
 register(
     "surrogate_ids",
     """SELECT COUNT(*) AS n, COUNT(*) AS distinct_ids, CAST(1 AS BIGINT) AS lowest,
@@ -374,71 +468,6 @@ register(
 
 register(
     "stale_pointer",
-    """SELECT g.location_id, g.golden_zone_row_id, g.version
-       FROM matches m JOIN golden g ON g.location_id = m.source_zone_id AND g.is_current
-       WHERE m.golden_zone_row_id <> g.golden_zone_row_id""",
-    GOLDEN_SQL,
-)(
-    lambda s, d: mt.stale_pointers(
-        customer_matches(s, d), customer_zones(s, d), customer_golden(s, d), 1, ID_LIMIT
-    )
-)
-
-register(
-    "match_details",
-    """SELECT m.match_id, m.status, CAST(m.confidence_score AS DOUBLE) AS confidence_score,
-              g.golden_id, g.borough AS golden_borough, g.zone AS golden_zone,
-              g.service_zone AS golden_service_zone, z.location_id AS source_location_id,
-              z.borough AS source_borough, z.zone AS source_zone,
-              z.service_zone AS source_service_zone
-       FROM matches m JOIN golden g ON m.golden_zone_id = g.golden_id
-       JOIN customer_zones z ON m.source_zone_id = z.location_id""",
-    GOLDEN_SQL,
-)(
-    lambda s, d: mt.match_details(
-        customer_matches(s, d), customer_golden(s, d), customer_zones(s, d)
-    )
-)
-
-register(
-    "match_domains",
-    """SELECT COUNT(*) FILTER (WHERE score > 1) AS bad_score,
-              COUNT(*) FILTER (WHERE status = 'odd') AS bad_status, CAST(0 AS BIGINT) AS bad_operation
-       FROM (SELECT CASE WHEN source_zone_id % 9 = 0 THEN 1.5 ELSE 1 END AS score,
-                    CASE WHEN source_zone_id % 12 = 0 THEN 'odd' ELSE status END AS status
-             FROM matches)""",
-    GOLDEN_SQL,
-)(
-    lambda s, d: mt.match_domain_violations(
-        mg.conditional_update(
-            mg.conditional_update(
-                customer_matches(s, d), F.col("source_zone_id") % 9 == 0,
-                {"confidence_score": F.lit("1.5").cast("decimal(5,4)")},
-            ),
-            F.col("source_zone_id") % 12 == 0, {"status": F.lit("odd")},
-        )
-    )
-)
-
-register(
-    "foreign_keys",
-    """SELECT 'source_zone_id' AS rule, COUNT(*) AS violations FROM matches
-         WHERE source_zone_id % 2 = 0
-       UNION ALL
-       SELECT 'golden_zone_row_id', COUNT(*) FROM matches WHERE source_zone_id % 10 = 0""",
-    GOLDEN_SQL,
-)(
-    lambda s, d: mt.foreign_key_violations(
-        customer_matches(s, d),
-        customer_zones(s, d).filter("location_id % 2 = 1"),
-        mt.current_version(customer_golden(s, d)),
-    )
-)
-
-# The five queries above start from every third customer zone; these take every zone, with faults set by value.
-
-register(
-    "stale_pointer_whole",
     """SELECT g.location_id, g.golden_zone_row_id, g.version
        FROM every_match m JOIN golden g ON g.location_id = m.source_zone_id AND g.is_current
        WHERE m.golden_zone_row_id <> g.golden_zone_row_id""",
@@ -450,7 +479,7 @@ register(
 )
 
 register(
-    "match_details_whole",
+    "match_details",
     """SELECT m.match_id, m.status, CAST(m.confidence_score AS DOUBLE) AS confidence_score,
               g.golden_id, g.borough AS golden_borough, g.zone AS golden_zone,
               g.service_zone AS golden_service_zone, z.location_id AS source_location_id,
@@ -462,7 +491,7 @@ register(
 )(lambda s, d: mt.match_details(every_match(s, d), customer_golden(s, d), customer_zones(s, d)))
 
 register(
-    "match_domains_whole",
+    "match_domains",
     """SELECT COUNT(*) FILTER (WHERE source_zone_id % 9 = 0) AS bad_score,
               COUNT(*) FILTER (WHERE source_zone_id % 12 = 0) AS bad_status,
               COUNT(*) FILTER (WHERE source_zone_id % 7 = 0) AS bad_operation
@@ -484,7 +513,7 @@ register(
 
 FAR = 10**15
 register(
-    "foreign_keys_whole",
+    "foreign_keys",
     f"""SELECT 'source_zone_id' AS rule, COUNT(*) AS violations
        FROM (SELECT CASE WHEN source_zone_id % 4 = 0 THEN source_zone_id + {FAR}
                          ELSE source_zone_id END AS source_zone_id FROM every_match) m
@@ -525,7 +554,7 @@ def orders_as_of(spark: SparkSession, sf_dir: str, **limits) -> DataFrame:
 
 register("as_of_zone", ASOF_SQL, GOLDEN_SQL)(orders_as_of)
 register("as_of_zone_by_month", ASOF_SQL, GOLDEN_SQL)(
-    lambda s, d: orders_as_of(s, d, max_broadcast_rows=0)
+    lambda s, d: orders_as_of(s, d, slice_rows=500)
 )
 
 # ---------------------------------------------------------------- merges
@@ -644,20 +673,6 @@ register(
 
 register(
     "pointer_backfill",
-    """SELECT match_id, golden_zone_id, golden_zone_row_id FROM matches""",
-    GOLDEN_SQL,
-)(
-    lambda s, d: bf.backfill_pointer(
-        customer_matches(s, d).withColumn(
-            "golden_zone_row_id",
-            F.when(F.col("match_id") % 2 == 0, F.col("golden_zone_row_id")),
-        ),
-        customer_golden(s, d),
-    ).select("match_id", "golden_zone_id", "golden_zone_row_id")
-)
-
-register(
-    "pointer_backfill_whole",
     """SELECT match_id, golden_zone_id, golden_zone_row_id FROM every_match""",
     EVERY_MATCH_SQL,
 )(

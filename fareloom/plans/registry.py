@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.plans import master_queries, run_queries, trip_queries
+from fareloom.plans import master_queries, run_queries, storage_queries, trip_queries
 from fareloom.session import apply_settings
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (trip_queries, master_queries, run_queries)
+MODULES = (trip_queries, master_queries, run_queries, storage_queries)
 
 
 def _with_settings(query: Query) -> Query:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fareloom.operators import runs as rn
+from fareloom.operators.merge import conditional_update
 from fareloom.operators.tieout import compare_manifests, row_count_manifest
 from fareloom.plans.inputs import (
     CUSTOMER_ZONES_SQL, POINTS_SQL, PROCESSED_SQL, RUNS_SQL, as_points, as_runs, customer_zones,
@@ -14,7 +15,7 @@ from fareloom.session import shared_dir
 from fareloom.sinks import versions as vs
 from fareloom.sinks.writers import sorted_by_time, write_partitioned
 from fareloom.streaming import runs as srn
-from fareloom.streaming.alarms import alarm_stream, alarms, stored_alarms
+from fareloom.streaming.alarms import alarm_stream, alarms, late_points, read_windows, stored_alarms
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -85,9 +86,10 @@ def known_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The run records with a part of them delivered twice."""
+    """The run records, a part of them delivered again later under another status."""
     every = runs(spark, sf_dir)
-    return every.unionAll(every.filter(F.col("job_name") == "job-3"))
+    later = every.filter(F.col("job_name") == "job-3").withColumn("status", F.lit("ERROR"))
+    return every.withColumn("arrival", F.lit(1)).unionAll(later.withColumn("arrival", F.lit(2)))
 
 
 register(
@@ -96,13 +98,13 @@ register(
               started_at, completed_at
        FROM runs WHERE status <> 'RUNNING'""",
     RUNS_SQL,
-)(lambda s, d: rn.sync_runs(known_runs(s, d), redelivered(s, d)).select(*HISTORY_COLUMNS))
+)(lambda s, d: rn.sync_runs(known_runs(s, d), redelivered(s, d), "arrival").select(*HISTORY_COLUMNS))
 
 register(
     "sync_runs_added",
     "SELECT COUNT(*) AS rows_added FROM runs WHERE status <> 'RUNNING' AND event_id % 7 <> 0",
     RUNS_SQL,
-)(lambda s, d: rn.added_runs(known_runs(s, d), redelivered(s, d)))
+)(lambda s, d: rn.added_runs(known_runs(s, d), redelivered(s, d), "arrival"))
 
 # ---------------------------------------------------------------- alarms
 
@@ -150,31 +152,57 @@ SYNC_SCHEMA = (
     RUNS_SQL,
 )
 def stream_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two passes over the same events, the second under a new checkpoint: it adds nothing."""
+    """Conflicting deliveries in one micro-batch, then all again under a new checkpoint.
+
+    The first delivery of a run stays, and the second pass adds nothing.
+    """
     root = shared_dir(spark, "stream-sync")
-    stream = as_runs(event_stream(spark, sf_dir)).select(*HISTORY_COLUMNS)
-    for delivery in (1, 2):
-        checkpoint = f"{root}/checkpoint-{delivery}"
+    redelivered(spark, sf_dir).select(*HISTORY_COLUMNS, "arrival").write.parquet(f"{root}/in")
+    for checkpoint in ("first", "second"):
+        stream = spark.readStream.schema(f"{SYNC_SCHEMA}, arrival int").parquet(f"{root}/in")
         srn.sync_stream(
-            stream, f"{root}/history", checkpoint, SYNC_SCHEMA, first_batch=delivery * 1_000_000
+            stream, f"{root}/history", f"{root}/checkpoint-{checkpoint}", SYNC_SCHEMA, "arrival"
         ).awaitTermination()
-    return srn.read_history(spark, f"{root}/history", SYNC_SCHEMA).drop("batch")
+    return srn.read_history(spark, f"{root}/history", SYNC_SCHEMA).select(*HISTORY_COLUMNS)
+
+
+DELIVERIES = 3
 
 
-def stream_alarm(spark: SparkSession, sf_dir: str, rule: rn.Alarm) -> DataFrame:
+def delivered_alarm(spark: SparkSession, sf_dir: str, rule: rn.Alarm) -> str:
+    """Follow an alarm while the events arrive in three parts, each over the whole time.
+
+    Most points of the later parts are late. The path of the windows.
+    """
     root = shared_dir(spark, "stream-alarm")
-    points = as_points(event_stream(spark, sf_dir))
-    alarm_stream(points, rule, f"{root}/windows", f"{root}/checkpoint").awaitTermination()
-    schema = "alarm string, window_start timestamp_ntz, window_end timestamp_ntz, value double, batch int"
-    return stored_alarms(spark.read.schema(schema).parquet(f"{root}/windows"), rule)
+    events = table(spark, sf_dir, "events")
+    for part in range(DELIVERIES):
+        events.filter(F.col("event_id") % DELIVERIES == part).write.mode("append").parquet(f"{root}/in")
+        points = as_points(spark.readStream.schema(events.schema).parquet(f"{root}/in"))
+        alarm_stream(points, rule, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return f"{root}/out"
 
 
 for _rule in rn.ALARMS:
     register(f"stream_alarm_{_rule.name}", alarm_sql(_rule), POINTS_SQL)(
-        lambda s, d, r=_rule: stream_alarm(s, d, r)
+        lambda s, d, r=_rule: stored_alarms(read_windows(s, delivered_alarm(s, d, r)), r)
     )
 
-# ---------------------------------------------------------------- versioned tables
+LATE_SQL = f"""
+WITH parts AS (SELECT ts, event_id % {DELIVERIES} AS part FROM events WHERE event_type = 'error'),
+newest AS (SELECT part, max(ts) AS newest FROM parts GROUP BY 1),
+judged AS (
+  SELECT p.ts, coalesce(p.ts < (SELECT max(n.newest) FROM newest n WHERE n.part < p.part) - INTERVAL 1 HOUR, FALSE) AS late
+  FROM parts p)
+SELECT '{rn.ALARMS[0].name}' AS alarm, make_timestamp(epoch_us(ts) // 300000000 * 300000000) AS window_start,
+       make_timestamp((epoch_us(ts) // 300000000 + 1) * 300000000) AS window_end,
+       COUNT(*) FILTER (WHERE late) AS late, COUNT(*) AS points
+FROM judged GROUP BY ALL HAVING COUNT(*) FILTER (WHERE late) > 0"""
+register("stream_alarm_late", LATE_SQL)(
+    lambda s, d: late_points(read_windows(s, delivered_alarm(s, d, rn.ALARMS[0])))
+)
+
+# ---------------------------------------------------------------- snapshots
 
 UPDATED_VALUE = "DEMO_UPDATED"
 
@@ -188,37 +216,48 @@ def evolved_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def demo_table(spark: SparkSession, sf_dir: str) -> vs.VersionedTable:
-    """Version 0 created, 1 updated, 2 extended by a column."""
-    versioned = vs.VersionedTable(spark, shared_dir(spark, "versions"))
-    versioned.create(customer_zones(spark, sf_dir))
-    versioned.update(F.col("location_id") == 1, {"service_zone": F.lit(UPDATED_VALUE)})
-    versioned.append(evolved_rows(spark, sf_dir))
-    return versioned
+def demo_snapshots(spark: SparkSession, sf_dir: str, faulty: bool = False) -> list[DataFrame]:
+    """The zones as created, with one updated, and with rows added that have a further column.
+
+    In the faulty ones the update was lost and old rows got the new column too.
+    """
+    root = shared_dir(spark, "snapshots")
+    first = vs.keep_snapshot(customer_zones(spark, sf_dir), f"{root}/created")
+    hit = F.lit(False) if faulty else F.col("location_id") == 1
+    second = vs.keep_snapshot(
+        conditional_update(first, hit, {"service_zone": F.lit(UPDATED_VALUE)}), f"{root}/updated"
+    )
+    third = vs.appended(second, evolved_rows(spark, sf_dir))
+    if faulty:
+        third = conditional_update(third, F.col("location_id") % 2 == 0, {"zone_category": F.lit("category")})
+    return [first, second, vs.keep_snapshot(third, f"{root}/extended")]
 
 
 VERSIONS_SQL = CUSTOMER_ZONES_SQL + """,
 v1 AS (SELECT location_id, borough, zone,
               CASE WHEN location_id = 1 THEN 'DEMO_UPDATED' ELSE service_zone END AS service_zone
        FROM customer_zones),
-v2 AS (SELECT *, CAST(NULL AS VARCHAR) AS zone_category FROM v1
-       UNION ALL SELECT -location_id, 'DEMO', zone, service_zone, 'category ' || borough
-       FROM customer_zones WHERE location_id % 20 = 0)"""
-for _number, _source in ((0, "customer_zones"), (1, "v1"), (None, "v2")):
-    _label = "current" if _number is None else f"v{_number}"
+evolved AS (SELECT -location_id AS location_id, 'DEMO' AS borough, zone, service_zone, 'category ' || borough AS zone_category
+       FROM customer_zones WHERE location_id % 20 = 0),
+v2 AS (SELECT *, CAST(NULL AS VARCHAR) AS zone_category FROM v1 UNION ALL SELECT * FROM evolved),
+faulty2 AS (SELECT * REPLACE (CASE WHEN location_id % 2 = 0 THEN 'category' ELSE zone_category END AS zone_category)
+       FROM (SELECT *, CAST(NULL AS VARCHAR) AS zone_category FROM customer_zones UNION ALL SELECT * FROM evolved))"""
+for _number, _label, _source in ((0, "v0", "customer_zones"), (1, "v1", "v1"), (2, "current", "v2")):
     register(f"version_read_{_label}", f"SELECT * FROM {_source}", VERSIONS_SQL)(
-        lambda s, d, n=_number: demo_table(s, d).read(n)
+        lambda s, d, n=_number: demo_snapshots(s, d)[n]
     )
 
+
+def demo_history(snapshots: list[DataFrame]) -> DataFrame:
+    return vs.operations(list(zip(range(3), ("CREATE", "UPDATE", "APPEND"), snapshots)))
+
+
 register(
     "version_history",
-    """SELECT * FROM (VALUES (0, 'CREATE', 1), (1, 'UPDATE', 1), (2, 'APPEND', 2))
-       v(version, operation, segment_count)""",
-)(
-    lambda s, d: demo_table(s, d).history().select(
-        "version", "operation", F.size("segments").alias("segment_count")
-    )
-)
+    """SELECT 0 AS version, 'CREATE' AS operation, COUNT(*) AS row_count FROM customer_zones
+       UNION ALL SELECT 1, 'UPDATE', COUNT(*) FROM v1 UNION ALL SELECT 2, 'APPEND', COUNT(*) FROM v2""",
+    VERSIONS_SQL,
+)(lambda s, d: demo_history(demo_snapshots(s, d)))
 
 
 @register(
@@ -234,35 +273,42 @@ register(
     VERSIONS_SQL,
 )
 def version_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    versioned = demo_table(spark, sf_dir)
-    facts = [facts_of(versioned, number, label) for number, label in ((0, "v0"), (1, "v1"), (None, "current"))]
+    facts = demo_facts(demo_snapshots(spark, sf_dir))
     return facts[0].unionByName(facts[1]).unionByName(facts[2]).drop("columns")
 
 
-def facts_of(versioned: vs.VersionedTable, number: int | None, label: str) -> DataFrame:
-    return vs.snapshot_facts(
-        versioned.read(number), label, F.col("location_id") == 1, "service_zone", "zone_category"
-    )
+def demo_facts(snapshots: list[DataFrame]) -> list[DataFrame]:
+    return [
+        vs.snapshot_facts(df, label, F.col("location_id") == 1, "service_zone", "zone_category")
+        for df, label in zip(snapshots, ("v0", "v1", "current"))
+    ]
 
 
-@register(
-    "schema_evolution",
-    """SELECT check_name, TRUE AS passed FROM (VALUES ('history_has_three_versions'),
-         ('v0_has_original_schema'), ('v1_has_original_schema'), ('current_has_evolved_schema'),
-         ('v0_retains_original_value'), ('v1_shows_updated_value'),
-         ('row_count_grew_by_appended_rows'), ('pre_evolution_rows_null_in_new_column'))
-       v(check_name)""",
+def evolution_sql(first: str, second: str, current: str) -> str:
+    probe = "(SELECT coalesce(min(service_zone), '') FROM {} WHERE location_id = 1)"
+    size = "(SELECT COUNT(*) FROM {})"
+    return f"""
+    SELECT * FROM (VALUES ('history_has_three_versions', TRUE), ('v0_has_original_schema', TRUE),
+      ('v1_has_original_schema', TRUE), ('current_has_evolved_schema', TRUE),
+      ('v0_retains_original_value', {probe.format(first)} <> '{UPDATED_VALUE}'),
+      ('v1_shows_updated_value', {probe.format(second)} = '{UPDATED_VALUE}'),
+      ('row_count_grew_by_appended_rows', {size.format(current)} = {size.format(first)} + {size.format("evolved")}),
+      ('pre_evolution_rows_null_in_new_column',
+       {size.format(current + " WHERE zone_category IS NULL")} = {size.format(first)})) v(check_name, passed)"""
+
+
+def evolution(spark: SparkSession, sf_dir: str, faulty: bool) -> DataFrame:
+    snapshots = demo_snapshots(spark, sf_dir, faulty)
+    added = evolved_rows(spark, sf_dir).agg(F.count(F.lit(1)))
+    return vs.evolution_checks(*demo_facts(snapshots), demo_history(snapshots), UPDATED_VALUE, added)
+
+
+register("schema_evolution", evolution_sql("customer_zones", "v1", "v2"), VERSIONS_SQL)(
+    lambda s, d: evolution(s, d, False)
+)
+register("schema_evolution_faulty", evolution_sql("customer_zones", "customer_zones", "faulty2"), VERSIONS_SQL)(
+    lambda s, d: evolution(s, d, True)
 )
-def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    versioned = demo_table(spark, sf_dir)
-    return vs.evolution_checks(
-        facts_of(versioned, 0, "v0"),
-        facts_of(versioned, 1, "v1"),
-        facts_of(versioned, None, "current"),
-        versioned.history(),
-        UPDATED_VALUE,
-        evolved_rows(spark, sf_dir).agg(F.count(F.lit(1))),
-    )
 
 
 @register(
@@ -273,8 +319,8 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     VERSIONS_SQL,
 )
 def version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    versioned = demo_table(spark, sf_dir)
-    return vs.version_diff(versioned.read(0), versioned.read(), ["location_id"])
+    first, _, current = demo_snapshots(spark, sf_dir)
+    return vs.version_diff(first, current, ["location_id"])
 
 
 # ---------------------------------------------------------------- layout and transfer
