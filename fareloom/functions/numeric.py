@@ -56,14 +56,12 @@ def money(value: str | Column) -> Column:
     return _col(value).try_cast("decimal(10,2)")
 
 
-def cents(value: str | Column) -> Column:
-    """A ``decimal(10,2)`` amount as whole cents, so its sum runs on 64-bit integers."""
-    return (_col(value) * F.lit(100)).cast("long")
-
-
 def money_sum(value: str | Column) -> Column:
-    """Sum of a ``decimal(10,2)`` column as ``decimal(20,2)``."""
-    return (F.sum(cents(value)).cast("decimal(20,0)") / F.lit(100)).cast("decimal(20,2)")
+    """Sum of a ``decimal(10,2)`` column as ``decimal(24,2)``: room for 10**14 rows of the largest amount.
+
+    The sum itself has 38 digits, and a mean of it keeps 16 decimals.
+    """
+    return F.sum(_col(value).cast("decimal(28,2)")).cast("decimal(24,2)")
 
 
 def money_mean(value: str | Column, digits: int) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -37,6 +38,12 @@ def require_row_count(df: DataFrame, expected: int, name: str) -> DataFrame:
     return df
 
 
+def exists_in(*frames: DataFrame) -> bool:
+    """Whether any of the frames, stacked, has a row; the search ends at the first one."""
+    stacked = [df.select(F.lit(1).alias("found")) for df in frames]
+    return not reduce(DataFrame.unionAll, stacked).isEmpty()
+
+
 def require_empty(df: DataFrame, reason: str) -> None:
     """Refuse to go on while ``df`` (violations) has a row."""
     if not df.isEmpty():

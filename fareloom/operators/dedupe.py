@@ -7,6 +7,7 @@ that holds a large share of the table reaches the shuffle as one row per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -45,35 +46,44 @@ def keep_one(
 
 
 def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Every row whose key occurs more than once, all copies kept."""
-    copies = (
-        df.groupBy(*key).agg(F.count(F.lit(1)).alias("_copies")).filter(F.col("_copies") > 1)
-    )
-    return semi_join_counted(df, copies, key)
+    """Every row whose key occurs more than once, all copies kept.
 
+    The rows are read twice: to count the keys, which also gives their total, and to list.
+    """
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_copies"))
+    total = counts.agg(F.coalesce(F.sum("_copies"), F.lit(0))).scalar()
+    return semi_join_counted(df, counts.filter(F.col("_copies") > 1), key, total)
+
+
+#: Tasks that the rows of a hot key are spread over.
+SPREAD = 64
 
-def semi_join_counted(df: DataFrame, counted: DataFrame, key: Sequence[str]) -> DataFrame:
+
+def semi_join_counted(
+    df: DataFrame, counted: DataFrame, key: Sequence[str], total: Column | None = None
+) -> DataFrame:
     """``df`` rows whose key is in ``counted`` (one row per key, with ``_copies``).
 
-    Hot keys (at most ``1 / HOT_SHARE`` of them) are matched by broadcast, where
-    their rows stay in the tasks that read them; all other keys are shuffled.
-    NULL keys match each other, as they do in a group-by.
+    Rows of hot keys (at most ``1 / HOT_SHARE`` keys, told by broadcast) are dealt to one of
+    ``SPREAD`` places in their key, and the key is listed in all of them, so one shuffled
+    join takes all rows and no task gets a hot key whole. NULL keys match each other, as
+    they do in a group-by. ``total`` is the number of rows, where it is known.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
-    hot = counted.filter(F.col("_copies") > total * HOT_SHARE).select(*key)
-    cold = counted.filter(F.col("_copies") <= total * HOT_SHARE).select(*key)
-    return _semi(df, F.broadcast(hot), key).unionAll(
-        _semi(_semi(df, F.broadcast(hot), key, "left_anti"), cold, key)
-    )
-
-
-def _semi(df: DataFrame, keys: DataFrame, key: Sequence[str], how: str = "left_semi") -> DataFrame:
-    left, right = df.alias("_l"), keys.alias("_r")
-    same = [F.col(f"_l.`{k}`").eqNullSafe(F.col(f"_r.`{k}`")) for k in key]
-    condition = same[0]
-    for part in same[1:]:
-        condition = condition & part
-    return left.join(right, condition, how)
+    rows = df.agg(F.count(F.lit(1))).scalar() if total is None else total
+    is_hot = F.col("_copies") > rows * HOT_SHARE
+    hot = counted.filter(is_hot).select(*key, F.lit(True).alias("_hot"))
+    told = df.alias("_l").join(F.broadcast(hot).alias("_r"), _same(key), "left").select("_l.*", "_hot")
+    place = F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))).otherwise(0)
+    first, last = F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long")
+    places = F.when(is_hot, F.sequence(first, last)).otherwise(F.array(first))
+    keys = counted.select(*key, F.explode(places).alias("_place"))
+    left, right = told.withColumn("_place", place.cast("long")).alias("_l"), keys.alias("_r")
+    same = _same(key) & (F.col("_l._place") == F.col("_r._place"))
+    return left.join(right, same, "left_semi").select(*[f"`{c}`" for c in df.columns])
+
+
+def _same(key: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(f"_l.`{k}`").eqNullSafe(F.col(f"_r.`{k}`")) for k in key])
 
 
 def copies_per_row(df: DataFrame) -> DataFrame:

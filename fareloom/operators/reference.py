@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fareloom.functions.text import blank_to_null, md5_hash, sha256_hash, upper_trim
 from fareloom.operators.contract import require_columns
@@ -21,8 +22,14 @@ def string_columns(df: DataFrame) -> list[str]:
 
 
 def trim_strings(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Trim text columns (all of them, or the named ones that exist); blanks stay blank."""
+    """Trim text columns (all of them, or the named ones that exist); blanks stay blank.
+
+    A name that the frame lacks is left out with a warning.
+    """
     wanted = string_columns(df) if columns is None else [c for c in columns if c in df.columns]
+    unknown = [c for c in columns or () if c not in df.columns]
+    if unknown:
+        warnings.warn(f"columns to trim that are not there: {unknown}; found {df.columns}", stacklevel=2)
     return df.withColumns({c: F.trim(F.col(c)) for c in wanted})
 
 
@@ -69,12 +76,8 @@ def standardise_and_hash(
     return standard.withColumn("record_hash", md5_hash(key, attributes))
 
 
-def clean_vendors(df: DataFrame) -> DataFrame:
-    """Vendor rows under standard headings, one per id, with id and name present.
-
-    Where an id is repeated the alphabetically first row wins, so the survivor is
-    the same on every run.
-    """
+def _vendor_columns(df: DataFrame) -> DataFrame:
+    """Vendor rows under standard headings, tidied, the id as a number."""
     if "VendorID" not in df.columns and "vendor_id" in df.columns:
         df = df.withColumnRenamed("vendor_id", "VendorID")
     if "vendor_name" not in df.columns:
@@ -82,9 +85,38 @@ def clean_vendors(df: DataFrame) -> DataFrame:
         if found:
             df = df.withColumnRenamed(found[0], "vendor_name")
     require_columns(df, ["VendorID", "vendor_name"])
-    tidy = blank_strings_to_null(df).withColumn("VendorID", F.col("VendorID").try_cast("int"))
-    present = tidy.filter(F.col("VendorID").isNotNull() & F.col("vendor_name").isNotNull())
-    return keep_one(present, ["VendorID"], ["vendor_name"])
+    return blank_strings_to_null(df).withColumn("VendorID", F.col("VendorID").try_cast("int"))
+
+
+def _is_vendor() -> Column:
+    return F.col("VendorID").isNotNull() & F.col("vendor_name").isNotNull()
+
+
+def clean_vendors(df: DataFrame) -> DataFrame:
+    """Vendor rows under standard headings, one per id, with id and name present.
+
+    Where an id is repeated the alphabetically first row wins, so the survivor is
+    the same on every run.
+    """
+    return keep_one(_vendor_columns(df).filter(_is_vendor()), ["VendorID"], ["vendor_name"])
+
+
+def vendor_accounts(df: DataFrame) -> DataFrame:
+    """What :func:`clean_vendors` does with the rows: read, without id or name, repeated, processed."""
+    rows = _vendor_columns(df).groupBy(F.when(_is_vendor(), F.col("VendorID")).alias("_id")).agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    known = F.col("_id").isNotNull()
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
+
+    return rows.agg(
+        total(F.col("_rows")).alias("records_read"),
+        total(F.when(~known, F.col("_rows"))).alias("invalid_removed"),
+        total(F.when(known, F.col("_rows") - 1)).alias("duplicates_removed"),
+        F.count_if(known).alias("records_processed"),
+    )
 
 
 def hash_vendors(df: DataFrame) -> DataFrame:
