@@ -14,6 +14,7 @@ from fareloom.operators.clean import silver, valid_trips
 from fareloom.operators.matching import resolve_current
 from fareloom.operators.skew import hot_keys, lookup_join
 from fareloom.operators.star import Star, build_star
+from fareloom.session import shared_dir
 from fareloom.sources.readers import read_table, spread_if_narrow
 
 # ---------------------------------------------------------------- helpers
@@ -200,10 +201,22 @@ def current_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_current(matches, zones, nation_golden(zones), 1, 265)
 
 
-def star(spark: SparkSession, sf_dir: str, cleaned: DataFrame | None = None) -> Star:
-    """The proxy star. Resolution keeps ids 1..265, so the zone dimension is that small."""
+def stored_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned trips written as a layer of their own, for what compares the layers above it."""
+    cleaned, path = trips(spark, sf_dir), shared_dir(spark, "silver")
+    cleaned.write.parquet(path)
+    return spark.read.schema(cleaned.schema).parquet(path)
+
+
+def star(
+    spark: SparkSession, sf_dir: str, cleaned: DataFrame | None = None, stored: bool = False
+) -> Star:
+    """The proxy star. Resolution keeps ids 1..265, so the zone dimension is that small.
+
+    ``stored`` trips also give the calendar's bounds.
+    """
     cleaned = trips(spark, sf_dir) if cleaned is None else cleaned
-    dated = valid_trips(bronze(spark, sf_dir))
+    dated = cleaned if stored else valid_trips(bronze(spark, sf_dir))
     return build_star(cleaned, current_zones(spark, sf_dir), zone_bound=265, dated=dated)
 
 

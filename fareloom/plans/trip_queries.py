@@ -14,7 +14,7 @@ from fareloom.operators.clean import cleaning_accounts
 from fareloom.operators.dedupe import duplicate_row_count
 from fareloom.operators.tieout import row_count_manifest, tie_out
 from fareloom.plans.inputs import (
-    STAR_SQL, TRIPS_SQL, bronze, exact, exact_mean, portable, star, table, trips,
+    STAR_SQL, TRIPS_SQL, bronze, exact, exact_mean, portable, star, stored_trips, table, trips,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -424,8 +424,8 @@ def tie_sql(left: str, right: str, keys: list[str], value: str, right_value: str
 def tie_counts(name: str, keys: list[str], gold_fn, gold_sql: str, star_sql: str, *by: str,
                renames: dict[str, str] | None = None, count: str = "trip_count") -> None:
     def run(s: SparkSession, d: str) -> DataFrame:
-        cleaned = trips(s, d)
-        left = st.star_counts(star(s, d, cleaned), *by)
+        cleaned = stored_trips(s, d)
+        left = st.star_counts(star(s, d, cleaned, stored=True), *by)
         right = gold_fn(cleaned).withColumnsRenamed({**(renames or {}), count: "trip_count"})
         return tie_out(left, right, keys, "trip_count")
 
@@ -452,9 +452,9 @@ star_query(
 
 
 def revenue_tie_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = trips(spark, sf_dir)
+    cleaned = stored_trips(spark, sf_dir)
     return tie_out(
-        st.star_revenue(star(spark, sf_dir, cleaned)),
+        st.star_revenue(star(spark, sf_dir, cleaned, stored=True)),
         gold.daily_summary(cleaned).withColumnRenamed("total_revenue", "fare_revenue"),
         ["trip_date"], "fare_revenue", tolerance=0.01, digits=2,
     )
