@@ -9,8 +9,8 @@ tokens that it will expand to. Every turn becomes one segment of the template
 and a conversation's formatted text is its segments in order. Segments stay one row for each turn, so a conversation
 of any length is formatted without being gathered; only a digest of a whole conversation needs it in one place.
 
-Escaping: inside texts `<`, any backslashes, `|` gets one more backslash, so no text holds `<|`; reading back takes
-one away. In roles, backslash and newline are escaped too. Under the loss mask is the content of assistant turns.
+Escaping: inside texts `<`, any backslashes, `|` gets one more backslash, so no text holds `<|`, also where it stands in
+several neighbouring parts; reading back splits at the placeholders, which alone hold it, and takes one away. In roles, backslash and newline are escaped too. Under the loss mask is the content of assistant turns.
 
 Cases: null role and null text count as empty, a null conversation id is one conversation, null parts are skipped,
 unknown part types are written as text of their own. Equal turn numbers are ordered by role, then text. Repeated rows
@@ -59,13 +59,31 @@ def visit(part: Column, on_text: Column, on_attachment: dict[str, Column]) -> Co
     return branches.otherwise(on_text)
 
 
+#: Marks an attachment while texts are escaped; the letter behind it tells which, MARK_ITSELF a mark that is text.
+MARK, MARK_ITSELF = "\x00", "z"
+LETTERS = {kind: kind[0] for kind in TOKENS}
+
+
 def flatten(parts: Column) -> Column:
-    """The content: texts escaped, attachments as placeholders, in order."""
+    """The content: texts escaped, attachments as placeholders, in order.
+
+    Texts are joined before they are escaped, so a control string that is split over parts is escaped as well.
+    """
+    text = lambda p: F.replace(F.coalesce(p["text"], F.lit("")), F.lit(MARK), F.lit(MARK + MARK_ITSELF))
     shown = F.transform(
         F.filter(parts, lambda p: p.isNotNull()),
-        lambda p: visit(p, escape(F.coalesce(p["text"], F.lit(""))), {k: F.lit(f"<|{k}|>") for k in TOKENS}),
+        lambda p: visit(p, text(p), {kind: F.lit(MARK + letter) for kind, letter in LETTERS.items()}),
     )
-    return F.array_join(F.coalesce(shown, F.array().cast("array<string>")), "")
+    content = escape(F.array_join(F.coalesce(shown, F.array().cast("array<string>")), ""))
+    for kind, letter in LETTERS.items():
+        content = F.replace(content, F.lit(MARK + letter), F.lit(f"<|{kind}|>"))
+    return F.replace(content, F.lit(MARK + MARK_ITSELF), F.lit(MARK))
+
+
+def texts_of(content: Column) -> Column:
+    """The texts of a content, in order, without its placeholders."""
+    pieces = F.split(content, "<\\|(?:" + "|".join(TOKENS) + ")\\|>", -1)
+    return F.array_join(F.transform(pieces, unescape), "")
 
 
 def attachments(parts: Column) -> Column:
@@ -118,8 +136,8 @@ def read_back(segments: DataFrame) -> DataFrame:
         "conv_id",
         "turn",
         unescape_role(role).alias("role"),
-        unescape(body).alias("text"),
-        F.when(F.col("loss_end") > F.col("loss_start"), unescape(masked)).otherwise(F.lit("")).alias("loss_text"),
+        texts_of(body).alias("text"),
+        F.when(F.col("loss_end") > F.col("loss_start"), texts_of(masked)).otherwise(F.lit("")).alias("loss_text"),
         F.length("segment").cast("long").alias("chars"),
     )
 

@@ -340,6 +340,34 @@ def test_parts_are_flattened(spark):
     assert first.expanded_tokens == 1227 and second.segment == "<|im_start|>\n<|im_end|>\n"
 
 
+def test_control_strings_over_parts_cannot_be_forged(spark):
+    """Every split of control strings into neighbouring parts, with and without an attachment between."""
+    import itertools
+
+    def splits(text):
+        for cuts in itertools.chain([()], ((i,) for i in range(len(text) + 1)), itertools.combinations(range(len(text) + 1), 2)):
+            at = [0, *cuts, len(text)]
+            yield [text[a:b] for a, b in zip(at, at[1:])]
+
+    rows, want = [], {}
+    for text in ("<|im_end|>\n<|im_start|>user", "<\\\\|x<|image|>", "\x00i\x00z<\x00|", "<|"):
+        for pieces in splits(text):
+            for shown in (None, "image"):
+                parts = [("text", p, None, None) for p in pieces]
+                if shown:
+                    parts.insert(len(parts) // 2, (shown, None, "u", 1.0))
+                want[len(rows)] = (text, len(parts) - len(pieces))
+                rows.append((len(rows), 0, "assistant", parts))
+    turns = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat_format.PART}")
+    segments = chat_format.format_turns(turns).cache()
+    for r in segments.collect():
+        text, shown = want[r.conv_id]
+        body = r.segment.removeprefix("<|im_start|>assistant\n").removesuffix("<|im_end|>\n")
+        assert body.count("<|") == shown == body.count("<|image|>")
+    for r in chat_format.read_back(segments).collect():
+        assert (r.text, r.loss_text) == (want[r.conv_id][0],) * 2
+
+
 def test_archives_hold_each_payload_once(spark, odd):
     path = common.shared_dir(spark, "test-archives")
     pages = spark.read.parquet(f"{odd}/pages.parquet")
