@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -78,8 +79,11 @@ def alarm_stream(
     spark = points.sparkSession
     for kind, schema in (("windows", WINDOW_SCHEMA), ("marks", MARK_SCHEMA)):
         # The folders exist from the start, so the first batch reads empty tables.
-        empty = spark.createDataFrame([], schema).drop("batch")
-        empty.write.mode("overwrite").parquet(f"{path}/{kind}/batch=-1")
+        try:
+            spark.read.schema(schema).parquet(f"{path}/{kind}")
+        except AnalysisException:
+            empty = spark.createDataFrame([], schema).drop("batch")
+            empty.write.mode("overwrite").parquet(f"{path}/{kind}/batch=-1")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         wanted = batch.filter((F.col("metric") == rule.metric) & F.col("ts").isNotNull())
