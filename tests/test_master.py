@@ -16,7 +16,7 @@ from fareloom.operators.dedupe import keep_one, repeated_keys
 from fareloom.operators.keys import assign_ids
 from fareloom.operators.slices import cut_slices, with_slices
 from fareloom.operators.reference import (
-    clean_reference, clean_vendors, hash_vendors, standardise_and_hash,
+    clean_reference, clean_vendors, hash_vendors, standardise_and_hash, trim_strings, vendor_accounts,
 )
 
 ZONE = "location_id int, borough string, zone string, service_zone string"
@@ -57,6 +57,19 @@ def test_vendor_cleaning(spark):
         clean_vendors(spark.createDataFrame([(1,)], "VendorID int"))
 
 
+def test_trimming_warns_of_unknown_names(spark):
+    df = spark.createDataFrame([(" a ", " b ")], "x string, y string")
+    with pytest.warns(UserWarning, match="absent"):
+        assert tuple(trim_strings(df, ["x", "absent"]).first()) == ("a", " b ")
+
+
+def test_vendor_accounts_add_up(spark):
+    rows = [("1", " Acme "), ("1", "Beta"), ("x", "Bad id"), ("2", "  "), ("3", "Gamma"), (None, None)]
+    told = vendor_accounts(spark.createDataFrame(rows, "vendor_id string, name string")).first()
+    assert tuple(told) == (6, 3, 1, 2)
+    assert tuple(vendor_accounts(spark.createDataFrame([], "vendor_id string, name string")).first()) == (0, 0, 0, 0)
+
+
 def one_zone(spark, text, key=99999):
     df = spark.createDataFrame([(key, "B", text, "S")], ZONE)
     return df.withColumn("record_hash", F.md5("zone"))
