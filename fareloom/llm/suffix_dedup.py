@@ -5,9 +5,15 @@ A byte goes if a LENGTH-byte string that covers it also starts anywhere else. Tw
 Candidates. Every LENGTH-byte window picks the GRAM-byte string of smallest hash inside it, its anchor. Equal windows
 pick equal anchors at equal places, so a repeated string shows as an anchor that stands at several places. The context
 of an anchor holds all windows that can pick it. Where two places have equal contexts, all of a context is repeated;
-only anchors with several different contexts are left to compare.
+only anchors with several different contexts are left to compare. By where its anchor stands in it, a window is of one
+of SIDES sides; all windows of a side share the LENGTH - LEFT / SIDES bytes that lie in each of them. Contexts are held
+against each other only where these bytes have equal hashes, and only in the windows of those sides; a context that is
+alone on each side is not fetched. Sides with the same contexts are compared once.
 
-Comparison. The contexts of an anchor meet in one partition. They are cut into shards; the suffixes of each shard are
+Units. Contexts of one anchor and side are a unit, which meets in one partition. Units of more than HOT contexts are
+taken apart into single windows: rows of one window are equal, so a task works through them in pieces.
+
+Comparison. The contexts of a unit are cut into shards; the suffixes of each shard are
 sorted once, which gives its transform: in suffix order, what stands before each suffix. The transforms are merged by
 refining the interleave of the shards: a pass over the current interleave hands out each shard's symbols in order and
 sorts them stably, after which the interleave is that of one symbol more. No suffix is compared again. Places where
@@ -41,10 +47,15 @@ LENGTH = 200
 GRAM = 32
 STRIDE = 50
 LEFT = LENGTH - GRAM
-#: Bytes of texts in one vectorised step; longer texts are cut into pieces of this.
-PIECE = 2_000_000
-#: Bytes of contexts that are merged at once (an anchor's stay together), and in one shard.
-CHUNK, SHARD = 1_200_000, 300_000
+#: Places of the anchor in a window, in SIDES ranges of SIDE places (the last has one more).
+SIDES = 4
+SIDE = LEFT // SIDES
+#: Contexts of a unit at most; larger units are taken apart into windows.
+HOT = 4096
+#: Bytes of texts in one vectorised step, few enough for a processor's cache; longer texts are cut into pieces of this.
+PIECE = 131_072
+#: Bytes of contexts that are merged at once (a unit's stay together), and in one shard.
+CHUNK, SHARD = 300_000, 100_000
 #: Words of 64 bits in the bitmap.
 BITMAP = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
@@ -84,7 +95,10 @@ def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
 
 
 def anchors_of(pieces: list[tuple[int, int, int, int, bytes, int]]) -> tuple[np.ndarray, ...]:
-    """(text, position, anchor, context, size) of all anchors.
+    """(text, position, anchor, context, size, sides) of all anchors.
+
+    sides holds 16 bits for each side: a hash of the bytes that all its windows share, zero where the text has no such
+    window.
 
     pieces: (text, offset, first, last, data, total): data starts at `offset` of a text of `total` bytes, and windows
     that start in first..last-1 count.
@@ -92,7 +106,7 @@ def anchors_of(pieces: list[tuple[int, int, int, int, bytes, int]]) -> tuple[np.
     sizes = np.array([len(p[4]) for p in pieces], np.int64)
     data = np.frombuffer(b"".join(p[4] for p in pieces), np.uint8)
     n = len(data)
-    none = tuple(np.zeros(0, np.int64) for _ in range(5))
+    none = tuple(np.zeros(0, np.int64) for _ in range(6))
     if n < LENGTH:
         return none
     start = np.cumsum(sizes) - sizes
@@ -115,14 +129,20 @@ def anchors_of(pieces: list[tuple[int, int, int, int, bytes, int]]) -> tuple[np.
     hi = np.minimum(total[own], place + LENGTH)
     shift = start[own] - offset[own]
     context = rolling.of(lo + shift, hi + shift) + (place - lo).astype(np.uint64) * np.uint64(_BASE)
-    return text[own], place, grams[chosen].view(np.int64), context.view(np.int64), hi - lo
+    sides = np.zeros(len(chosen), np.uint64)
+    for side in range(SIDES):
+        first, end = place - side * SIDE, place + LENGTH - (side + 1) * SIDE
+        there = np.flatnonzero((first >= 0) & (end <= total[own]))
+        short = rolling.of((first + shift)[there], (end + shift)[there]) >> np.uint64(48)
+        sides[there] |= np.maximum(short, np.uint64(1)) << np.uint64(16 * side)
+    return text[own], place, grams[chosen].view(np.int64), context.view(np.int64), hi - lo, sides.view(np.int64)
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """docs (key, text) -> key, at, anchor, context, size."""
+    """docs (key, text) -> key, at, anchor, context, size, sides."""
 
     def flush(keys: np.ndarray, pieces: list) -> Iterator[pa.RecordBatch]:
-        text, place, anchor, context, size = anchors_of(pieces)
+        text, place, anchor, context, size, sides = anchors_of(pieces)
         _, once = np.unique(np.stack([text, place]), axis=1, return_index=True) if len({p[0] for p in pieces}) < len(pieces) else (None, slice(None))
         yield pa.RecordBatch.from_pydict(
             {
@@ -131,6 +151,7 @@ def anchors(docs: DataFrame) -> DataFrame:
                 "anchor": pa.array(anchor[once]),
                 "context": pa.array(context[once]),
                 "size": pa.array(size[once].astype(np.int32)),
+                "sides": pa.array(sides[once]),
             }
         )
 
@@ -158,7 +179,7 @@ def anchors(docs: DataFrame) -> DataFrame:
         known = np.zeros(0, np.int64)
         for first in range(0, len(data), PIECE):
             lo, hi = max(0, first - 2 * LENGTH), min(len(data), first + PIECE + 2 * LENGTH)
-            text, place, anchor, context, size = anchors_of([(i, lo, first, first + PIECE, data[lo:hi], len(data))])
+            text, place, anchor, context, size, sides = anchors_of([(i, lo, first, first + PIECE, data[lo:hi], len(data))])
             new = ~np.isin(place, known)
             known = place[-4 * LENGTH :]
             yield pa.RecordBatch.from_pydict(
@@ -168,10 +189,11 @@ def anchors(docs: DataFrame) -> DataFrame:
                     "anchor": pa.array(anchor[new]),
                     "context": pa.array(context[new]),
                     "size": pa.array(size[new].astype(np.int32)),
+                    "sides": pa.array(sides[new]),
                 }
             )
 
-    return docs.select("key", "text").mapInArrow(run, "key long, at long, anchor long, context long, size int")
+    return docs.select("key", "text").mapInArrow(run, "key long, at long, anchor long, context long, size int, sides long")
 
 
 def transform_of(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,22 +236,56 @@ def repeated_windows(texts: list[bytes], classes: np.ndarray) -> np.ndarray:
 
     classes: a number for each byte; only bytes of equal numbers are held against each other.
     """
-    shards, held = [], 0
-    for k, text in enumerate(texts):
-        held += len(text)
-        if held >= SHARD or k == len(texts) - 1:
-            shards.append(held)
-            held = 0
-    ends = np.cumsum(shards)
-    total = int(ends[-1])
     sizes = np.array([len(t) for t in texts])
+    total = int(sizes.sum())
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(total)
     symbols = np.arange(total, dtype=np.uint64)  # unique: across a text's end no two are alike
     if total >= STRIDE:
         data = np.frombuffer(b"".join(texts), np.uint8)
-        hashed = RollingHash(data).of(slice(0, total - STRIDE + 1), slice(STRIDE, total + 1)) | np.uint64(1 << 63)
+        hashed = RollingHash(data).of(slice(0, total - STRIDE + 1), slice(STRIDE, total + 1))
+        # With the class in its symbols a window is like windows of its own class only.
+        hashed += classes[: len(hashed)].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        hashed ^= hashed >> np.uint64(32)
+        hashed |= np.uint64(1 << 63)
         inside = np.flatnonzero(left[: len(hashed)] >= STRIDE)
         symbols[inside] = hashed[inside]
+    hopeful = np.repeat(may_repeat(symbols, left, sizes), sizes)
+    out = np.zeros(total, bool)
+    if hopeful.any():
+        at = np.flatnonzero(hopeful)
+        out[at] = merged_windows(symbols[at], left[at])
+    return out
+
+
+def may_repeat(symbols: np.ndarray, left: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each text whether it has a window all of whose symbols may stand elsewhere too.
+
+    Symbols are counted by some of their bits, so a count may be too high but never too low: no repeated window is lost.
+    """
+    bits = max(12, int(len(symbols)).bit_length() + 2)
+    short = (symbols & np.uint64((1 << bits) - 1)).astype(np.int64)
+    again = np.bincount(short, minlength=1 << bits)[short] > 1
+    whole = left >= LENGTH
+    for step in range(0, LENGTH, STRIDE):
+        whole[: len(whole) - step] &= again[step:]
+    sums = np.concatenate([[0], np.cumsum(whole)])
+    ends = np.cumsum(sizes)
+    return sums[ends] > sums[ends - sizes]
+
+
+def merged_windows(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """For each place whether the LENGTH bytes from there on also start at another place.
+
+    left: bytes up to the end of the place's text; whole texts, one after the other.
+    """
+    total = len(symbols)
+    text_ends = np.flatnonzero(left == 1) + 1
+    ends, last = [], 0
+    for end in text_ends.tolist():
+        if end - last >= SHARD or end == total:
+            ends.append(end)
+            last = end
+    shards = np.diff([0, *ends])
     # One numbering of the symbols for all shards keeps them small.
     symbols = np.unique(symbols, return_inverse=True)[1].ravel()
     orders, transforms = [], []
@@ -242,14 +298,9 @@ def repeated_windows(texts: list[bytes], classes: np.ndarray) -> np.ndarray:
     for shard, order in enumerate(orders):
         place[source == shard] = order
     # Only intervals of several suffixes matter, and of those only windows that end in their own text.
-    several = np.flatnonzero((np.bincount(interval)[interval] > 1) & (left[place] >= LENGTH))
-    place, interval = place[several], interval[several]
-    order = np.lexsort((classes[place], interval))
-    place, interval, kind = place[order], interval[order], classes[place[order]]
-    same = (interval[1:] == interval[:-1]) & (kind[1:] == kind[:-1])
-    out = np.zeros(len(classes), bool)
-    out[place[1:][same]] = True
-    out[place[:-1][same]] = True
+    several = (np.bincount(interval)[interval] > 1) & (left[place] >= LENGTH)
+    out = np.zeros(total, bool)
+    out[place[several]] = True
     return out
 
 
@@ -262,62 +313,88 @@ def covered_runs(starts: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(anchor, context, lead, data), sorted by anchor -> (anchor, context, spans) of contexts that repeat in part."""
+    """(anchor, unit, context, lead, shift, data), sorted -> (anchor, context, spans) of contexts that repeat in part."""
+    names = ("anchor", "unit", "context", "lead", "shift", "data")
 
-    def flush(rows: list[tuple[int, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
-        rows = list({(r[0], r[1]): r for r in rows}.values())
-        texts = [r[3] for r in rows]
+    def flush(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        anchor, unit, context, lead, shift, texts = (list(x) for x in zip(*rows, strict=True))
         sizes = np.array([len(t) for t in texts])
         starts = np.cumsum(sizes) - sizes
-        _, group = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)
-        lead = np.array([r[2] for r in rows])
-        # The class of a byte is its anchor and its place relative to it.
-        relative = np.arange(sizes.sum()) - np.repeat(starts + lead, sizes) + LENGTH
-        twice = repeated_windows(texts, np.repeat(group.ravel(), sizes) * (4 * LENGTH) + relative)
-        found: dict[str, list] = {"anchor": [], "context": [], "spans": []}
-        for row, start, size in zip(rows, starts, sizes, strict=True):
-            at = np.flatnonzero(twice[start : start + size])
-            if len(at):
-                found["anchor"].append(row[0])
-                found["context"].append(row[1])
-                found["spans"].append([{"start": a, "end": b} for a, b in covered_runs(at)])
+        fresh = [a != b or u != v for a, b, u, v in zip(anchor[1:], anchor, unit[1:], unit, strict=False)]
+        group = np.concatenate([[0], np.cumsum(fresh)]).astype(np.int64)
+        # The class of a byte is its unit and its place relative to the anchor.
+        relative = np.arange(sizes.sum()) - np.repeat(starts + np.array(lead), sizes) + LENGTH
+        twice = repeated_windows(texts, np.repeat(group, sizes) * (4 * LENGTH) + relative)
+        at = np.flatnonzero(twice)
+        owner = np.searchsorted(starts, at, side="right") - 1
+        found, cuts = np.unique(owner, return_index=True)
+        spans = [
+            [{"start": a + shift[row], "end": b + shift[row]} for a, b in covered_runs(own - starts[row])]
+            for row, own in zip(found.tolist(), np.split(at, cuts[1:]), strict=True)
+        ] if len(found) else []
         yield pa.RecordBatch.from_pydict(
             {
-                "anchor": pa.array(found["anchor"], pa.int64()),
-                "context": pa.array(found["context"], pa.int64()),
-                "spans": pa.array(found["spans"], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+                "anchor": pa.array([anchor[r] for r in found.tolist()], pa.int64()),
+                "context": pa.array([context[r] for r in found.tolist()], pa.int64()),
+                "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
             }
         )
 
-    rows: list[tuple[int, int, int, bytes]] = []
+    rows: list[tuple] = []
     held = 0
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "context", "lead", "data")), strict=True):
-            if held > CHUNK and row[0] != rows[-1][0]:
+        for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            if held > CHUNK and (row[:2] != rows[-1][:2] or row[1] < 0):
+                # In a unit of equal windows the last one goes on, so no piece holds one that has lost its like.
+                last = rows[-1:] if row[:2] == rows[-1][:2] else []
                 yield from flush(rows)
-                rows, held = [], 0
+                rows, held = last, sum(len(r[5]) for r in last)
             rows.append(row)
-            held += len(row[3])
+            held += len(row[5])
     if rows:
         yield from flush(rows)
 
 
+def pieces_of(data: bytes, wanted: dict) -> Iterator[tuple]:
+    """(anchor, unit, context, lead, shift, data): what of one context is compared in one of its units.
+
+    A hot unit comes as single windows, named by hashes below zero.
+    """
+    at, first, last = wanted["at"], wanted["part"] >> 16, wanted["last"]
+    lo = max(0, at - LEFT)
+    start, end = max(0, at - (last + 1) * SIDE), min(len(data), at + LENGTH - first * SIDE)
+    if wanted["n"] <= HOT:
+        if end - start >= LENGTH:
+            yield wanted["anchor"], wanted["part"], wanted["context"], at - start, start - lo, data[start:end]
+        return
+    for begin in range(start, end - LENGTH + 1):
+        window = data[begin : begin + LENGTH]
+        place = b"%d %d" % (wanted["part"], at - begin)  # a text may hold one window at several places
+        name = int.from_bytes(hashlib.blake2b(window, digest_size=8, salt=place).digest(), "big") >> 1
+        yield wanted["anchor"], ~name, wanted["context"], at - begin, begin - lo, window
+
+
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, wanted) -> the contexts asked for."""
+    """(text, wanted) -> the parts of contexts asked for."""
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(c), kind) for c, kind in zip(columns, kinds, strict=True)],
+            ["anchor", "unit", "context", "lead", "shift", "data"],
+        )
+
     for batch in batches:
-        rows: dict[str, list] = {"anchor": [], "context": [], "lead": [], "data": []}
+        rows: list[tuple] = []
         for text, wanted in zip(batch.column("text"), batch.column("wanted"), strict=True):
             data = text.as_py().encode()
-            for w in wanted.as_py():
-                lo = max(0, w["at"] - LEFT)
-                rows["anchor"].append(w["anchor"])
-                rows["context"].append(w["context"])
-                rows["lead"].append(w["at"] - lo)
-                rows["data"].append(data[lo : w["at"] + LENGTH])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows["anchor"], pa.int64()), pa.array(rows["context"], pa.int64()), pa.array(rows["lead"], pa.int32()), pa.array(rows["data"], pa.binary())],
-            ["anchor", "context", "lead", "data"],
-        )
+            for w in wanted:
+                rows.extend(pieces_of(data, w.as_py()))
+                if len(rows) >= 8192:
+                    yield packed(rows)
+                    rows = []
+        yield packed(rows)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,36 +453,61 @@ def spans_of(docs: DataFrame) -> DataFrame:
     live = stored(join_counted(found, counts, "anchor", "n", "inner"), "live-anchors")
     contexts = stored(
         live.groupBy("anchor", "context").agg(
-            F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "at")).alias("first"), F.max("size").alias("size")
+            F.count(F.lit(1)).alias("copies"),
+            F.min(F.struct("key", "at")).alias("first"),
+            F.max("size").alias("size"),
+            F.max("sides").alias("sides"),
         ),
         "contexts",
     )
-    several = stored(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "contested-anchors")
-    contested = join_counted(contexts, several, "anchor", "n", "inner")
+    several = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    contested = join_counted(contexts, stored(several, "contested-anchors"), "anchor", "n", "inner")
+    bits = F.array(*[F.shiftrightunsigned("sides", 16 * k).bitwiseAND(F.lit(0xFFFF)).cast("int") for k in range(SIDES)])
+    placed = contested.select("anchor", "context", "first", F.posexplode(bits).alias("side", "hash")).filter("hash <> 0")
+    placed = stored(placed.select("anchor", (F.col("side") * 65536 + F.col("hash")).alias("part"), "context", "first"), "sides")
+    # Sides of an anchor with the same contexts, told by two hashes over them, are one unit.
+    parts = placed.groupBy("anchor", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor("context").alias("some"), F.bit_xor(F.xxhash64("context")).alias("more")
+    )
+    units = (
+        parts.filter("n > 1")
+        .groupBy("anchor", "n", "some", "more")
+        .agg(F.min("part").alias("part"), F.shiftright(F.max("part"), 16).alias("last"))
+        .select(F.struct("anchor", "part").alias("unit"), "n", "last", F.col("n").alias("members"))
+    )
+    asking = join_counted(
+        placed.select(F.struct("anchor", "part").alias("unit"), "context", "first"), stored(units, "units"), "unit", "members", "inner"
+    )
     wanted = stored(
-        contested.select("first.key", "first.at", "anchor", "context")
-        .groupBy("key")
-        .agg(F.collect_list(F.struct("at", "anchor", "context")).alias("wanted")),
+        asking.groupBy("first.key")
+        .agg(F.collect_list(F.struct("first.at", "unit.anchor", "unit.part", "last", "n", "context")).alias("wanted")),
         "requests",
     )
     asked, _ = split_by_bitmap(docs, bitmap_of(wanted))
-    fetched = asked.join(wanted, "key").select("text", "wanted").mapInArrow(_fetch, "anchor long, context long, lead int, data binary")
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), several.agg(F.sum("n")).first()[0] or 0, 1)
-    parts = min(parts, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), parts // 8192))
+    fetched = asked.join(wanted, "key").select("text", "wanted").mapInArrow(
+        _fetch, "anchor long, unit long, context long, lead int, shift int, data binary"
+    )
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
     compared = (
-        fetched.repartition(parts, "anchor")
-        .sortWithinPartitions("anchor")
+        fetched.repartition(max(least, rows // 8192), "anchor", "unit")
+        .sortWithinPartitions("anchor", "unit", "data")
         .mapInArrow(_compare, "anchor long, context long, spans array<struct<start:int,end:int>>")
     )
-    name = F.xxhash64("anchor", "context").alias("name")
+    name = F.struct("anchor", "context").alias("name")
     whole = contexts.filter("copies > 1").select(name, F.array(F.struct(F.lit(0).alias("start"), F.col("size").alias("end"))).alias("spans"))
-    verdicts = whole.unionByName(compared.select(name, "spans")).groupBy("name").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    verdicts = (
+        whole.unionByName(compared.select(name, "spans"))
+        .groupBy("name")
+        .agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
+    )
     counted = stored(verdicts.join(contexts.select(name, "copies"), "name"), "verdicts")
     hit = join_counted(live.select("key", "at", name), counted, "name", "copies", "inner")
     lo = F.greatest(F.col("at") - LEFT, F.lit(0))
+    # Repeated rows have one key and give equal lists, which a set holds once.
     return hit.groupBy("key").agg(
         F.flatten(
-            F.collect_list(
+            F.collect_set(
                 F.transform("spans", lambda s: F.struct((lo + s["start"]).alias("start"), (lo + s["end"]).alias("end")))
             )
         ).alias("spans")

@@ -180,8 +180,10 @@ def test_simhash_links_across_blocks(spark, monkeypatch):
     assert found == want
 
 
-@pytest.mark.parametrize("folder", ["odd", "sf_dir"])
-def test_repeated_strings(spark, folder, request):
+@pytest.mark.parametrize(("folder", "hot"), [("odd", 4096), ("sf_dir", 4096), ("sf_dir", 2)])
+def test_repeated_strings(spark, folder, hot, request, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 300_000 if hot > 2 else 1_000)
     folder = request.getfixturevalue(folder)
     docs = [(i, t.encode()) for i, t in texts(spark, folder)]
     n = suffix_dedup.LENGTH
