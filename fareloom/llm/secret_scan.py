@@ -111,13 +111,14 @@ def scan_versions(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RU
         .filter(F.size("pairs") > 0)
         .select(F.col("blob").alias("todo_blob"), "first", "pairs")
     )
-    # One text for each unseen blob: its first path. The pair (blob, first path) is unique, so no task is hot.
-    unseen = texts.join(
-        todo.hint("shuffle_hash"),
-        (F.col("blob") == F.col("todo_blob"))
-        & F.col("path").eqNullSafe(F.col("first.path"))
-        & F.col("version").eqNullSafe(F.col("first.version")),
+    # One text for each unseen blob: its first path. Repeated rows become one before and in the shuffle of the join, so
+    # no task is hot. Structs are equal where their fields are equal or both null.
+    once = (
+        texts.select("blob", F.struct("path", "version").alias("first"), "text")
+        .groupBy("blob", "first")
+        .agg(F.first("text").alias("text"))
     )
+    unseen = once.join(todo.hint("shuffle_hash"), (F.col("blob") == F.col("todo_blob")) & (once["first"] == todo["first"]))
     results = F.array(
         *[
             F.struct(
@@ -210,9 +211,8 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document stays, its secrets replaced by a mark."""
-    packed = docs.select(F.struct("*").alias("row")).select(
-        "row", F.xxhash64("row.doc_id", "row.text").alias("key"), F.col("row.text").alias("text")
-    )
+    key = F.struct(F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("hash"))
+    packed = docs.select(F.struct("*").alias("row")).select("row", key.alias("key"), F.col("row.text").alias("text"))
     found = scan_versions(
         packed.select(F.col("key").alias("path"), F.lit(0).alias("version"), "text"), shared_dir(spark, "ledger")
     )

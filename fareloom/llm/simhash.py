@@ -294,6 +294,6 @@ def stage_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     name = F.struct(F.col("row.doc_id").isNull().alias("no_id"), F.col("row.doc_id").alias("doc_id"), tied.alias("hash"))
     packed = docs.select(F.struct("*").alias("row")).select("row", name.alias("name"), F.col("row.text").alias("text"))
     found = clustered(packed.select(F.struct("name").alias("key"), "text"), "name")
-    stays = found.groupBy("component").agg(F.count(F.lit(1)).alias("documents")).select(F.xxhash64("component").alias("key"))
-    once = packed.select("row", F.xxhash64("name").alias("key")).join(stays.hint("shuffle_hash"), "key", "left_semi")
-    return once.dropDuplicates(["key"]).select("row.*")
+    stays = found.groupBy("component").agg(F.count(F.lit(1)).alias("documents")).select(F.col("component").alias("name"))
+    once = packed.select("row", "name").join(stays.hint("shuffle_hash"), "name", "left_semi")
+    return once.dropDuplicates(["name"]).select("row.*")

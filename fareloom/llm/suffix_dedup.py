@@ -397,15 +397,16 @@ def spans_of(docs: DataFrame) -> DataFrame:
         .sortWithinPartitions("anchor")
         .mapInArrow(_compare, "anchor long, context long, spans array<struct<start:int,end:int>>")
     )
-    name = F.xxhash64("anchor", "context").alias("name")
+    name = F.struct("anchor", "context").alias("name")
     whole = contexts.filter("copies > 1").select(name, F.array(F.struct(F.lit(0).alias("start"), F.col("size").alias("end"))).alias("spans"))
     verdicts = whole.unionByName(compared.select(name, "spans")).groupBy("name").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     counted = stored(verdicts.join(contexts.select(name, "copies"), "name"), "verdicts")
     hit = join_counted(live.select("key", "at", name), counted, "name", "copies", "inner")
     lo = F.greatest(F.col("at") - LEFT, F.lit(0))
+    # Repeated rows have one key and give equal lists, which a set holds once.
     return hit.groupBy("key").agg(
         F.flatten(
-            F.collect_list(
+            F.collect_set(
                 F.transform("spans", lambda s: F.struct((lo + s["start"]).alias("start"), (lo + s["end"]).alias("end")))
             )
         ).alias("spans")

@@ -436,3 +436,40 @@ def test_pipeline_on_odd_rows(spark, odd):
         assert name == "sentencepiece" or alone.columns == docs.columns
         assert alone.count() <= docs.count()
     assert corpus_pipeline.run(spark, odd).count() > 0
+
+
+def test_repeated_rows_are_scanned_once(spark, tmp_path):
+    rows = [(1, 'token="abcdef123"')] * 500 + [(None, "password: secret99")] * 3 + [(2, None)] * 2 + [(2, "")]
+    versions = spark.createDataFrame(rows, "path long, text string").withColumn("version", F.lit(None).cast("int"))
+    found = secret_scan.scan_versions(versions, f"{tmp_path}/ledger").collect()
+    assert Counter((r.path, len(r.findings)) for r in found) == {(1, 1): 500, (None, 1): 3, (2, 0): 3}
+    ledger = spark.read.parquet(f"{tmp_path}/ledger")
+    assert ledger.count() == ledger.select("blob", "kind", "version").distinct().count() == 3 * len(secret_scan.RULES)
+
+
+def test_no_document_goes_by_its_hash(spark, monkeypatch):
+    """Where all hashes collide, documents with ids of their own are still told apart."""
+    rows = [(k, f"document number {k} has words like a{k} b{k} c{k} d{k} e{k} f{k}") for k in range(20)] + [(None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    monkeypatch.setattr(simhash.F, "xxhash64", lambda *columns: F.lit(7).cast("long"))
+    monkeypatch.setattr(simhash, "clustered", lambda df, name: df.select("key.*").withColumn("component", F.col(name)))
+    kept = simhash.stage_simhash(spark, docs, "")
+    assert Counter(map(tuple, kept.select("doc_id", "text").collect())) == Counter(rows)
+
+
+def test_odd_rows_by_plain_python(spark, odd):
+    """op9's base measures on nulls, ties, repeated rows and a long text."""
+    want = Counter()
+    for doc_id, text in texts(spark, odd):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+        often = Counter(windows)
+        repeated = {k + j for k, w in enumerate(windows) if often[w] > 1 for j in range(5)}
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        failed = len(words) < 10 or 100 * len(repeated) > 20 * len(words)
+        chars, symbols = sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text))
+        want[doc_id, len(words), chars, symbols, len(lines) - len(set(lines)), len(repeated), failed] += 1
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    rows = QUERIES["op9_quality_rules"](spark, odd).collect()
+    assert Counter(tuple(r[c] for c in columns) for r in rows) == want
+    assert not any(r.kept and r.base_failed for r in rows)
