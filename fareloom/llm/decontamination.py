@@ -289,6 +289,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a test item go."""
-    packed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("key"), "text")
+    key = F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("key")
+    packed = docs.select(F.struct("*").alias("row"), key, "text")
     found = contaminated(packed.select("key", "text"), test_items(spark, sf_dir)).select("key").distinct()
     return packed.join(found.hint("shuffle_hash"), "key", "left_anti").select("row.*")
