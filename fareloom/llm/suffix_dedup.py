@@ -4,16 +4,18 @@ A byte goes if a LENGTH-byte string that covers it also starts anywhere else. Tw
 
 Candidates. Every LENGTH-byte window picks the GRAM-byte string of smallest hash inside it, its anchor. Equal windows
 pick equal anchors at equal places, so a repeated string shows as an anchor that stands at several places. The context
-of an anchor holds all windows that can pick it. Where two places have equal contexts, all of a context is repeated;
-only anchors with several different contexts are left to compare.
+of an anchor holds the windows that pick it, which lie side by side, and no others: equal windows pick alike. Where two
+places have equal contexts, all of a context is repeated; only anchors with several different contexts are left to
+compare.
 
-Comparison. The contexts of an anchor meet in one partition. They are cut into shards; the suffixes of each shard are
+Comparison. The contexts of an anchor meet in one partition. Windows with a symbol that stands nowhere else at its
+place cannot repeat and are left out. The rest is cut into shards; the suffixes of each shard are
 sorted once, which gives its transform: in suffix order, what stands before each suffix. The transforms are merged by
 refining the interleave of the shards: a pass over the current interleave hands out each shard's symbols in order and
 sorts them stably, after which the interleave is that of one symbol more. No suffix is compared again. Places where
 neighbours part give the common prefixes; once they are LENGTH bytes long, an interval of several suffixes is a
-repeated string. A symbol here is a hash of STRIDE bytes, so LENGTH / STRIDE passes do; a symbol across a text's end is
-like no other.
+repeated string. A symbol here is a hash of STRIDE bytes, their anchor and their place relative to it, as equal windows
+have equal places; so LENGTH / STRIDE passes do. A text's symbols end where the last STRIDE bytes begin.
 
 Texts meet the requests for contexts, and later the spans, in two joins. A bitmap of fixed size keeps texts that have
 no request out of those shuffles; when it fills up, they only get larger.
@@ -30,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +43,6 @@ by_value(__name__)
 LENGTH = 200
 GRAM = 32
 STRIDE = 50
-LEFT = LENGTH - GRAM
 #: Bytes of texts in one vectorised step; longer texts are cut into pieces of this.
 PIECE = 2_000_000
 #: Bytes of contexts that are merged at once (an anchor's stay together), and in one shard.
@@ -84,7 +86,9 @@ def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
 
 
 def anchors_of(pieces: list[tuple[int, int, int, int, bytes, int]]) -> tuple[np.ndarray, ...]:
-    """(text, position, anchor, context, size) of all anchors.
+    """(text, position, anchor, context, lead, size) of all anchors.
+
+    A context starts `lead` bytes before its anchor.
 
     pieces: (text, offset, first, last, data, total): data starts at `offset` of a text of `total` bytes, and windows
     that start in first..last-1 count.
@@ -92,7 +96,7 @@ def anchors_of(pieces: list[tuple[int, int, int, int, bytes, int]]) -> tuple[np.
     sizes = np.array([len(p[4]) for p in pieces], np.int64)
     data = np.frombuffer(b"".join(p[4] for p in pieces), np.uint8)
     n = len(data)
-    none = tuple(np.zeros(0, np.int64) for _ in range(5))
+    none = tuple(np.zeros(0, np.int64) for _ in range(6))
     if n < LENGTH:
         return none
     start = np.cumsum(sizes) - sizes
@@ -105,34 +109,50 @@ def anchors_of(pieces: list[tuple[int, int, int, int, bytes, int]]) -> tuple[np.
     at = np.arange(len(least))
     own = owner[: len(least)]
     here = at - start[own] + offset[own]
-    counts = (at + LENGTH <= start[own] + sizes[own]) & (here >= first[own]) & (here < last[own])
-    least[~counts] = 0
-    padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
+    least[at + LENGTH > start[own] + sizes[own]] = 0
+    counted = np.where((here >= first[own]) & (here < last[own]), least, np.uint64(0))
+    padded = np.concatenate([np.zeros(width - 1, np.uint64), counted, np.zeros(width - 1, np.uint64)])
     chosen = np.flatnonzero((sliding(padded, width, np.maximum) == grams) & (grams > 0))
+    lo, hi = picking(least, chosen, grams[chosen], width)
+    hi += LENGTH
     own = owner[chosen]
-    place = chosen - start[own] + offset[own]
-    lo = np.maximum(0, place - LEFT)
-    hi = np.minimum(total[own], place + LENGTH)
     shift = start[own] - offset[own]
-    context = rolling.of(lo + shift, hi + shift) + (place - lo).astype(np.uint64) * np.uint64(_BASE)
-    return text[own], place, grams[chosen].view(np.int64), context.view(np.int64), hi - lo
+    lead = chosen - lo
+    context = rolling.of(lo, hi) + lead.astype(np.uint64) * np.uint64(_BASE)
+    return text[own], chosen - shift, grams[chosen].view(np.int64), context.view(np.int64), lead, hi - lo
+
+
+def picking(least: np.ndarray, chosen: np.ndarray, values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of the windows that pick each chosen gram, by the least value of every window.
+
+    They lie side by side, so they are what one run of equal values has within reach of the gram.
+    """
+    edge = np.flatnonzero(least[1:] != least[:-1]) + 1
+    begin, end = np.concatenate([[0], edge]), np.concatenate([edge, [len(least)]])
+    kinds, kind = np.unique(least[begin], return_inverse=True)
+    reach = len(least) + 1
+    order = np.argsort(kind.ravel() * reach + end)
+    keys = kind.ravel()[order] * reach + end[order]
+    far = np.maximum(0, chosen - width + 1)
+    run = order[np.searchsorted(keys, np.searchsorted(kinds, values) * reach + far, "right")]
+    return np.maximum(begin[run], far), np.minimum(end[run] - 1, chosen)
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """docs (key, text) -> key, at, anchor, context, size."""
-
-    def flush(keys: np.ndarray, pieces: list) -> Iterator[pa.RecordBatch]:
-        text, place, anchor, context, size = anchors_of(pieces)
-        _, once = np.unique(np.stack([text, place]), axis=1, return_index=True) if len({p[0] for p in pieces}) < len(pieces) else (None, slice(None))
-        yield pa.RecordBatch.from_pydict(
-            {
-                "key": pa.array(keys[text[once]]),
-                "at": pa.array(place[once]),
-                "anchor": pa.array(anchor[once]),
-                "context": pa.array(context[once]),
-                "size": pa.array(size[once].astype(np.int32)),
-            }
-        )
+    """docs (key, text) -> key, at, anchor, context, lead, size."""
+
+    def told(keys: np.ndarray, pieces: list, known: np.ndarray | None = None) -> tuple[pa.RecordBatch, np.ndarray]:
+        text, place, anchor, context, lead, size = anchors_of(pieces)
+        new = slice(None) if known is None else ~np.isin(place, known)
+        columns = {
+            "key": pa.array(keys[text[new]]),
+            "at": pa.array(place[new]),
+            "anchor": pa.array(anchor[new]),
+            "context": pa.array(context[new]),
+            "lead": pa.array(lead[new].astype(np.int32)),
+            "size": pa.array(size[new].astype(np.int32)),
+        }
+        return pa.RecordBatch.from_pydict(columns), place
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,30 +168,47 @@ def anchors(docs: DataFrame) -> DataFrame:
                 pieces.append((i, 0, 0, len(data), data, len(data)))
                 held += len(data)
                 if held > PIECE:
-                    yield from flush(keys, pieces)
+                    yield told(keys, pieces)[0]
                     pieces, held = [], 0
             if pieces:
-                yield from flush(keys, pieces)
+                yield told(keys, pieces)[0]
 
     def long_text(keys: np.ndarray, i: int, data: bytes) -> Iterator[pa.RecordBatch]:
-        """Piece after piece; an anchor that two pieces find is told once."""
+        """Piece after piece; an anchor that two pieces find is told once, with all windows that pick it."""
         known = np.zeros(0, np.int64)
         for first in range(0, len(data), PIECE):
             lo, hi = max(0, first - 2 * LENGTH), min(len(data), first + PIECE + 2 * LENGTH)
-            text, place, anchor, context, size = anchors_of([(i, lo, first, first + PIECE, data[lo:hi], len(data))])
-            new = ~np.isin(place, known)
+            found, place = told(keys, [(i, lo, first, first + PIECE, data[lo:hi], len(data))], known)
             known = place[-4 * LENGTH :]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "key": pa.array(keys[text[new]]),
-                    "at": pa.array(place[new]),
-                    "anchor": pa.array(anchor[new]),
-                    "context": pa.array(context[new]),
-                    "size": pa.array(size[new].astype(np.int32)),
-                }
-            )
+            yield found
+
+    return docs.select("key", "text").mapInArrow(run, "key long, at long, anchor long, context long, lead int, size int")
+
+
+def in_order(values: np.ndarray, limit: int) -> np.ndarray:
+    """Stable order of whole numbers below `limit`: sorted together with their places where both fit a word."""
+    bits = len(values).bit_length()
+    if limit.bit_length() + bits > 63:
+        return np.argsort(values, kind="stable")
+    return np.sort((values.astype(np.int64) << bits) | np.arange(len(values))) & ((1 << bits) - 1)
 
-    return docs.select("key", "text").mapInArrow(run, "key long, at long, anchor long, context long, size int")
+
+def numbered(hashes: np.ndarray) -> np.ndarray:
+    """Numbers from 0 that are equal where the hashes are.
+
+    Hashes are sorted by their upper bits, with their places; should different ones agree in those, by all bits.
+    """
+    bits = max(len(hashes).bit_length(), 1)
+    places = np.arange(len(hashes), dtype=np.uint64)
+    order = (np.sort((hashes >> np.uint64(bits) << np.uint64(bits)) | places) & np.uint64((1 << bits) - 1)).astype(np.int64)
+    ranked = hashes[order]
+    parts = ranked[1:] != ranked[:-1]
+    if (parts & (ranked[1:] >> np.uint64(bits) == ranked[:-1] >> np.uint64(bits))).any():
+        order = np.argsort(hashes, kind="stable")
+        parts = hashes[order[1:]] != hashes[order[:-1]]
+    out = np.empty(len(hashes), np.int64)
+    out[order] = np.concatenate([[0], np.cumsum(parts)])[: len(hashes)]
+    return out
 
 
 def transform_of(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,8 +219,9 @@ def transform_of(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(symbols)
     rank, reach = symbols, STRIDE
     while reach < LENGTH:
-        key = rank * (int(rank.max()) + 1) + np.roll(rank, -reach)
-        order = np.argsort(key)
+        limit = int(rank.max()) + 1
+        key = rank * limit + np.roll(rank, -reach)
+        order = in_order(key, limit * limit)
         rank = np.empty(n, np.int64)
         rank[order] = np.concatenate([[0], np.cumsum(key[order[1:]] != key[order[:-1]])])
         reach *= 2
@@ -197,126 +235,134 @@ def merged_intervals(transforms: list[np.ndarray]) -> tuple[np.ndarray, np.ndarr
     """
     source = np.repeat(np.arange(len(transforms), dtype=np.int32), [len(t) for t in transforms])
     interval = np.zeros(len(source), np.int64)
-    place = np.arange(len(source))
+    limit = max(int(t.max()) for t in transforms) + 1
     for _ in range(LENGTH // STRIDE):
         symbol = np.empty(len(source), np.int64)
         for shard, transform in enumerate(transforms):
             symbol[source == shard] = transform  # a shard's suffixes keep their order in any interleave
-        order = np.argsort(symbol * len(source) + place)  # by symbol, and stable
+        order = in_order(symbol, limit)
         source, symbol, interval = source[order], symbol[order], interval[order]
         parts = (symbol[1:] != symbol[:-1]) | (interval[1:] != interval[:-1])  # the common prefix ends here
         interval = np.concatenate([[0], np.cumsum(parts)])
     return source, interval
 
 
-def repeated_windows(texts: list[bytes], classes: np.ndarray) -> np.ndarray:
-    """For each byte of the joined texts whether the window that starts there also starts in another text of its class.
+def repeated_windows(data: np.ndarray, sizes: np.ndarray, origins: np.ndarray) -> np.ndarray:
+    """Whether the window that starts at each byte also starts in another text at the same place.
 
-    classes: a number for each byte; only bytes of equal numbers are held against each other.
+    data: the joined texts of at least LENGTH bytes; origins: a number for the place of each text's first byte; the
+    next bytes have the next numbers.
     """
-    shards, held = [], 0
-    for k, text in enumerate(texts):
-        held += len(text)
-        if held >= SHARD or k == len(texts) - 1:
-            shards.append(held)
-            held = 0
-    ends = np.cumsum(shards)
-    total = int(ends[-1])
-    sizes = np.array([len(t) for t in texts])
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(total)
-    symbols = np.arange(total, dtype=np.uint64)  # unique: across a text's end no two are alike
-    if total >= STRIDE:
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        hashed = RollingHash(data).of(slice(0, total - STRIDE + 1), slice(STRIDE, total + 1)) | np.uint64(1 << 63)
-        inside = np.flatnonzero(left[: len(hashed)] >= STRIDE)
-        symbols[inside] = hashed[inside]
-    # One numbering of the symbols for all shards keeps them small.
-    symbols = np.unique(symbols, return_inverse=True)[1].ravel()
+    total = int(sizes.sum())
+    ends = np.cumsum(sizes)
+    left = np.repeat(ends, sizes) - np.arange(total)
+    out = np.zeros(total, bool)
+    at = np.flatnonzero(left >= STRIDE)  # where symbols start
+    places = (np.repeat(origins - ends + sizes, sizes) + np.arange(total))[at]
+    symbols = numbered(RollingHash(data).of(slice(0, total - STRIDE + 1), slice(STRIDE, total + 1))[at] + places.astype(np.uint64) * np.uint64(_BASE))
+    # Windows all of whose symbols stand elsewhere too, and the symbols of such windows.
+    several = np.zeros(total, bool)
+    several[at] = np.bincount(symbols)[symbols] > 1
+    window = left >= LENGTH
+    for step in range(0, LENGTH, STRIDE):
+        window[: total - step] &= several[step:]
+    if not window.any():
+        return out
+    windows = np.concatenate([np.zeros(LENGTH - STRIDE + 1, np.int64), np.cumsum(window)])
+    kept = (windows[LENGTH - STRIDE + 1 :] > windows[: -(LENGTH - STRIDE + 1)])[at]
+    at, symbols = at[kept], symbols[kept]
+    # A shard ends with a text, or where symbols are left out.
+    gaps = np.concatenate([np.flatnonzero(np.diff(at) > 1) + 1, [len(at)]])
+    ends = gaps[np.concatenate([np.diff(gaps // SHARD) > 0, [True]])]
     orders, transforms = [], []
-    for end, size in zip(ends, shards, strict=True):
-        order, transform = transform_of(symbols[end - size : end])
-        orders.append(order + (end - size))
+    for begin, end in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
+        order, transform = transform_of(symbols[begin:end])
+        orders.append(order + begin)
         transforms.append(transform)
     source, interval = merged_intervals(transforms)
     place = np.empty(len(source), np.int64)
     for shard, order in enumerate(orders):
         place[source == shard] = order
-    # Only intervals of several suffixes matter, and of those only windows that end in their own text.
-    several = np.flatnonzero((np.bincount(interval)[interval] > 1) & (left[place] >= LENGTH))
-    place, interval = place[several], interval[several]
-    order = np.lexsort((classes[place], interval))
-    place, interval, kind = place[order], interval[order], classes[place[order]]
-    same = (interval[1:] == interval[:-1]) & (kind[1:] == kind[:-1])
-    out = np.zeros(len(classes), bool)
-    out[place[1:][same]] = True
-    out[place[:-1][same]] = True
+    # Only intervals of several windows matter; the symbols behind a text's last window are no windows.
+    place = at[place]
+    windows = window[place]
+    place, interval = place[windows], interval[windows]
+    out[place[np.bincount(interval)[interval] > 1]] = True
     return out
 
 
-def covered_runs(starts: np.ndarray) -> list[tuple[int, int]]:
-    """Runs of bytes covered by windows that start at sorted `starts`."""
+def covered_runs(twice: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, end) of the runs of bytes that the marked windows cover, within each of the joined texts."""
+    begins = np.cumsum(sizes) - sizes
+    starts = np.flatnonzero(twice)
     if not len(starts):
-        return []
-    gap = np.flatnonzero(np.diff(starts) > LENGTH)
-    return list(zip(starts[np.concatenate([[0], gap + 1])].tolist(), (starts[np.concatenate([gap, [len(starts) - 1]])] + LENGTH).tolist(), strict=True))
+        return starts, starts, starts
+    text = np.repeat(np.arange(len(sizes)), sizes)[starts]
+    apart = np.flatnonzero((np.diff(starts) > LENGTH) | (np.diff(text) > 0))
+    first, last = np.concatenate([[0], apart + 1]), np.concatenate([apart, [len(starts) - 1]])
+    text = text[first]
+    return text, starts[first] - begins[text], starts[last] - begins[text] + LENGTH
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(anchor, context, lead, data), sorted by anchor -> (anchor, context, spans) of contexts that repeat in part."""
 
-    def flush(rows: list[tuple[int, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
-        rows = list({(r[0], r[1]): r for r in rows}.values())
-        texts = [r[3] for r in rows]
-        sizes = np.array([len(t) for t in texts])
-        starts = np.cumsum(sizes) - sizes
-        _, group = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)
-        lead = np.array([r[2] for r in rows])
-        # The class of a byte is its anchor and its place relative to it.
-        relative = np.arange(sizes.sum()) - np.repeat(starts + lead, sizes) + LENGTH
-        twice = repeated_windows(texts, np.repeat(group.ravel(), sizes) * (4 * LENGTH) + relative)
-        found: dict[str, list] = {"anchor": [], "context": [], "spans": []}
-        for row, start, size in zip(rows, starts, sizes, strict=True):
-            at = np.flatnonzero(twice[start : start + size])
-            if len(at):
-                found["anchor"].append(row[0])
-                found["context"].append(row[1])
-                found["spans"].append([{"start": a, "end": b} for a, b in covered_runs(at)])
-        yield pa.RecordBatch.from_pydict(
-            {
-                "anchor": pa.array(found["anchor"], pa.int64()),
-                "context": pa.array(found["context"], pa.int64()),
-                "spans": pa.array(found["spans"], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-            }
+    def flush(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        anchor, context, lead = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("anchor", "context", "lead"))
+        texts = [t for b in held for t in b.column("data").to_pylist()]
+        # Repeated rows bring a context several times.
+        order = np.lexsort((context, anchor))
+        once = np.ones(len(order), bool)
+        once[1:] = (np.diff(anchor[order]) != 0) | (np.diff(context[order]) != 0)
+        order = order[once]
+        anchor, context, lead, texts = anchor[order], context[order], lead[order], [texts[k] for k in order.tolist()]
+        sizes = np.array([len(t) for t in texts], np.int64)
+        group = np.concatenate([[0], np.cumsum(np.diff(anchor) != 0)])
+        # The place of a byte is told by its anchor and its distance from it.
+        twice = repeated_windows(np.frombuffer(b"".join(texts), np.uint8), sizes, (group * 4 + 1) * LENGTH - lead)
+        text, start, end = covered_runs(twice, sizes)
+        found, counts = np.unique(text, return_counts=True)
+        spans = pa.StructArray.from_arrays([pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["start", "end"])
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(anchor[found]), pa.array(context[found]), pa.ListArray.from_arrays(pa.array(offsets), spans)],
+            ["anchor", "context", "spans"],
         )
 
-    rows: list[tuple[int, int, int, bytes]] = []
-    held = 0
+    held: list[pa.RecordBatch] = []
+    size, last = 0, None
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "context", "lead", "data")), strict=True):
-            if held > CHUNK and row[0] != rows[-1][0]:
-                yield from flush(rows)
-                rows, held = [], 0
-            rows.append(row)
-            held += len(row[3])
-    if rows:
-        yield from flush(rows)
+        if not batch.num_rows:
+            continue
+        anchor = batch.column("anchor").to_numpy()
+        upto = np.concatenate([[0], np.cumsum(pc.binary_length(batch.column("data")).to_numpy())])
+        starts = np.flatnonzero(np.concatenate([[last is None or anchor[0] != last], np.diff(anchor) != 0]))
+        at = 0
+        for k in starts.tolist():
+            if size + upto[k] - upto[at] > CHUNK:
+                yield flush([*held, batch.slice(at, k - at)])
+                held, size, at = [], 0, k
+        held.append(batch.slice(at))
+        size, last = size + upto[-1] - upto[at], anchor[-1]
+    if held:
+        yield flush(held)
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, wanted) -> the contexts asked for."""
     for batch in batches:
-        rows: dict[str, list] = {"anchor": [], "context": [], "lead": [], "data": []}
-        for text, wanted in zip(batch.column("text"), batch.column("wanted"), strict=True):
-            data = text.as_py().encode()
-            for w in wanted.as_py():
-                lo = max(0, w["at"] - LEFT)
-                rows["anchor"].append(w["anchor"])
-                rows["context"].append(w["context"])
-                rows["lead"].append(w["at"] - lo)
-                rows["data"].append(data[lo : w["at"] + LENGTH])
+        wanted = batch.column("wanted")
+        asked = wanted.flatten()
+        lead = asked.field("lead")
+        lo = pc.subtract(asked.field("at"), lead)
+        hi = pc.add(lo, asked.field("size")).to_pylist()
+        lo, rows, k = lo.to_pylist(), [], 0
+        for text, n in zip(batch.column("text").to_pylist(), pc.list_value_length(wanted).to_pylist(), strict=True):
+            data = text.encode()
+            rows.extend([data[lo[j] : hi[j]] for j in range(k, k + n)])
+            k += n
         yield pa.RecordBatch.from_arrays(
-            [pa.array(rows["anchor"], pa.int64()), pa.array(rows["context"], pa.int64()), pa.array(rows["lead"], pa.int32()), pa.array(rows["data"], pa.binary())],
-            ["anchor", "context", "lead", "data"],
+            [asked.field("anchor"), asked.field("context"), lead, pa.array(rows, pa.binary())], ["anchor", "context", "lead", "data"]
         )
 
 
@@ -324,17 +370,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id columns, text, spans) -> what is left of each text."""
     for batch in batches:
         out: dict[str, list] = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
-        for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
-            data = (text.as_py() or "").encode()
+        spans = batch.column("spans")
+        listed = spans.flatten()
+        starts, ends = listed.field("start").to_numpy(), listed.field("end").to_numpy()
+        k = 0
+        for text, n in zip(batch.column("text").to_pylist(), pc.list_value_length(spans).to_pylist(), strict=True):
+            data = (text or "").encode()
             kept, at, runs, removed = [], 0, 0, 0
-            end = -1
-            for s in sorted((x["start"], x["end"]) for x in spans.as_py() or []):
-                if s[0] > end:
-                    kept.append(data[at : s[0]])
-                    runs += 1
-                    end = s[0]
-                removed += max(0, s[1] - end)
-                at = end = max(end, s[1])
+            for lo, hi in joined_runs(starts[k : k + (n or 0)], ends[k : k + (n or 0)]):
+                kept.append(data[at:lo])
+                runs += 1
+                removed += hi - lo
+                at = hi
+            k += n or 0
             kept.append(data[at:])
             for name, value in zip(out, (len(data), removed, runs, b"".join(kept)), strict=True):
                 out[name].append(value)
@@ -348,6 +396,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def joined_runs(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges in any order, which may overlap or touch, as the runs that they cover."""
+    if not len(starts):
+        return []
+    order = np.argsort(starts)
+    starts, upto = starts[order], np.maximum.accumulate(ends[order])
+    apart = np.flatnonzero(starts[1:] > upto[:-1])
+    return list(zip(starts[np.concatenate([[0], apart + 1])].tolist(), upto[np.concatenate([apart, [len(upto) - 1]])].tolist(), strict=True))
+
+
 def bitmap_of(keys: DataFrame) -> DataFrame:
     """(word, bits): at most BITMAP rows that mark the keys' places."""
     return keys.select(*_place("key")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
@@ -376,16 +434,16 @@ def spans_of(docs: DataFrame) -> DataFrame:
     live = stored(join_counted(found, counts, "anchor", "n", "inner"), "live-anchors")
     contexts = stored(
         live.groupBy("anchor", "context").agg(
-            F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "at")).alias("first"), F.max("size").alias("size")
+            F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "at", "lead", "size")).alias("first")
         ),
         "contexts",
     )
     several = stored(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "contested-anchors")
     contested = join_counted(contexts, several, "anchor", "n", "inner")
     wanted = stored(
-        contested.select("first.key", "first.at", "anchor", "context")
+        contested.select("first.*", "anchor", "context")
         .groupBy("key")
-        .agg(F.collect_list(F.struct("at", "anchor", "context")).alias("wanted")),
+        .agg(F.collect_list(F.struct("at", "lead", "size", "anchor", "context")).alias("wanted")),
         "requests",
     )
     asked, _ = split_by_bitmap(docs, bitmap_of(wanted))
@@ -398,16 +456,15 @@ def spans_of(docs: DataFrame) -> DataFrame:
         .mapInArrow(_compare, "anchor long, context long, spans array<struct<start:int,end:int>>")
     )
     name = F.struct("anchor", "context").alias("name")
-    whole = contexts.filter("copies > 1").select(name, F.array(F.struct(F.lit(0).alias("start"), F.col("size").alias("end"))).alias("spans"))
+    whole = contexts.filter("copies > 1").select(name, F.array(F.struct(F.lit(0).alias("start"), F.col("first.size").alias("end"))).alias("spans"))
     verdicts = whole.unionByName(compared.select(name, "spans")).groupBy("name").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     counted = stored(verdicts.join(contexts.select(name, "copies"), "name"), "verdicts")
-    hit = join_counted(live.select("key", "at", name), counted, "name", "copies", "inner")
-    lo = F.greatest(F.col("at") - LEFT, F.lit(0))
+    hit = join_counted(live.select("key", (F.col("at") - F.col("lead")).alias("lo"), name), counted, "name", "copies", "inner")
     # Repeated rows have one key and give equal lists, which a set holds once.
     return hit.groupBy("key").agg(
         F.flatten(
             F.collect_set(
-                F.transform("spans", lambda s: F.struct((lo + s["start"]).alias("start"), (lo + s["end"]).alias("end")))
+                F.transform("spans", lambda s: F.struct((F.col("lo") + s["start"]).alias("start"), (F.col("lo") + s["end"]).alias("end")))
             )
         ).alias("spans")
     )

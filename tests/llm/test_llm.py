@@ -209,6 +209,40 @@ def test_long_texts_in_pieces(spark, monkeypatch):
     assert (np.unique(np.concatenate(parts, axis=1), axis=1) == np.unique(np.stack(whole), axis=1)).all()
 
 
+def test_a_window_stands_in_one_context():
+    rng = np.random.default_rng(8)
+    text = rng.integers(0, 256, 20_000).astype(np.uint8).tobytes()
+    *_, sizes = suffix_dedup.anchors_of([(0, 0, 0, len(text), text, len(text))])
+    assert int((sizes - suffix_dedup.LENGTH + 1).sum()) == len(text) - suffix_dedup.LENGTH + 1
+
+
+@pytest.mark.parametrize("shard", [500, 300_000])
+def test_windows_against_brute_force(monkeypatch, shard):
+    monkeypatch.setattr(suffix_dedup, "SHARD", shard)
+    rng, n = np.random.default_rng(9), suffix_dedup.LENGTH
+    texts, origins = [], []
+    for letters in (2, 256, 2, 256, 3, 256):
+        base = rng.integers(0, letters, 420).astype(np.uint8)
+        for _ in range(6):
+            copy, lo = base.copy(), int(rng.integers(0, 150))
+            copy[rng.integers(0, 420, 2)] ^= 1
+            texts.append(copy[lo : lo + int(rng.integers(n, 421 - lo))])
+            origins.append(len(origins) // 6 * 1000 + lo)
+    windows = [[(o + k, t[k : k + n].tobytes()) for k in range(len(t) - n + 1)] for t, o in zip(texts, origins, strict=True)]
+    seen = Counter(w for found in windows for w in found)
+    want = [x for found in windows for x in [seen[w] > 1 for w in found] + [False] * (n - 1)]
+    got = suffix_dedup.repeated_windows(np.concatenate(texts), np.array([len(t) for t in texts]), np.array(origins))
+    assert got.tolist() == want and 0 < sum(want) < len(want)
+
+
+def test_hashes_that_agree_in_their_upper_bits():
+    hashes = np.array([7, 5, 7, 2**63 + 1, 5, 6, 2**63 + 1, 4], np.uint64)
+    assert suffix_dedup.numbered(hashes).tolist() == [3, 1, 3, 4, 1, 2, 4, 0]
+    values = np.array([3, 1, 3, 0, 1])
+    for limit in (4, 2**62):
+        assert suffix_dedup.in_order(values, limit).tolist() == [3, 1, 4, 0, 2]
+
+
 @pytest.mark.parametrize("folder", ["odd", "sf_dir"])
 def test_shards(spark, folder, request):
     folder = request.getfixturevalue(folder)
