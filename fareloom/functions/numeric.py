@@ -51,6 +51,15 @@ def exact_avg(value: str | Column) -> Column:
     return exact_sum(value) / F.nullif(F.count(_col(value)), F.lit(0)).cast("double")
 
 
+def weighted_sum(value: str | Column, times: str | Column) -> Column:
+    """:func:`exact_sum` of values that each occur a number of times (below 10**12).
+
+    Seven digits before the point, 18 after it and 12 of the number fit a decimal.
+    """
+    units = exact_units(value).cast("decimal(25,18)") * _col(times).cast("decimal(12,0)")
+    return total_of(F.sum(units), F.sum(exact_rest(value) * _col(times)))
+
+
 def money(value: str | Column) -> Column:
     """``decimal(10,2)``; a value that does not fit becomes NULL instead of failing."""
     return _col(value).try_cast("decimal(10,2)")

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from fareloom.functions.numeric import exact_avg
+from fareloom.functions.numeric import exact_avg, weighted_sum
 from fareloom.functions.temporal import elapsed_minutes, elapsed_seconds
 from fareloom.operators.dedupe import duplicate_row_count
 from fareloom.operators.quantiles import exact_quantiles, melt, named, stored_counts, value_counts
@@ -221,7 +221,7 @@ def describe(df: DataFrame) -> DataFrame:
     largest; times in seconds since 1970. All others: count, number of different values,
     the most frequent one (of several the least) and how often it comes. NaN is missing.
 
-    Moments are mergeable sums and quartiles are exact; different values are counted in
+    Moments and quartiles come from the counts of the different values; those are counted in
     parallel, and the most frequent is the largest of their counts.
     """
     kinds = {f.name: f.dataType for f in df.schema}
@@ -246,33 +246,36 @@ def describe(df: DataFrame) -> DataFrame:
 
 
 def _measured(numbers: DataFrame, names: Sequence[str]) -> DataFrame:
-    stats = numbers.agg(
-        *[
-            F.struct(
-                F.lit(place).alias("place"),
-                F.count(F.col(f"`{n}`")).alias("count"),
-                exact_avg(F.col(f"`{n}`")).alias("mean"),
-                F.stddev_samp(F.col(f"`{n}`")).alias("std"),
-                F.min(F.col(f"`{n}`")).alias("minimum"),
-                F.max(F.col(f"`{n}`")).alias("maximum"),
-            ).alias(f"_{place}")
-            for place, n in enumerate(names)
-        ]
+    """All figures come from the counts of the different values, so the rows are read once and added up as few."""
+    counts = stored_counts(melt(numbers, [f"`{n}`" for n in names]))
+    n = F.sum("n")
+    stats = counts.groupBy("measure").agg(
+        n.alias("count"),
+        (weighted_sum("value", "n") / n.cast("double")).alias("mean"),
+        F.min("value").alias("minimum"),
+        F.max("value").alias("maximum"),
+    )
+    means = stats.select(F.col("measure").alias("_m"), F.col("mean").alias("_mean"))
+    away = F.col("value") - F.col("_mean")
+    # Means, like all that follows, are a few rows: one for each column.
+    squares = (
+        counts.join(F.broadcast(means), F.col("measure") == F.col("_m"))
+        .groupBy("measure")
+        .agg(F.sqrt(F.sum(away * away * F.col("n")) / F.nullif(n - 1, F.lit(0))).alias("std"))
     )
-    rows = stats.select(F.explode(F.array(*stats.columns)).alias("s")).select("s.*")
 
     def quartile(p: float) -> Column:
         return F.max(F.when(F.col("probability") == p, F.col("value")))
 
     quartiles = (
-        exact_quantiles(stored_counts(melt(numbers, [f"`{n}`" for n in names])), [0.25, 0.5, 0.75])
-        .groupBy(F.col("measure").alias("place"))
+        exact_quantiles(counts, [0.25, 0.5, 0.75])
+        .groupBy("measure")
         .agg(quartile(0.25).alias("q25"), quartile(0.5).alias("median"), quartile(0.75).alias("q75"))
     )
-    # A few rows: one for each column.
-    return named(
-        rows.join(F.broadcast(quartiles), "place", "left").withColumnRenamed("place", "measure"), names
-    ).withColumnRenamed("measure", "column_name")
+    every = numbers.sparkSession.createDataFrame(list(enumerate(names)), "measure int, column_name string")
+    for found in (stats, squares, quartiles):
+        every = every.join(F.broadcast(found), "measure", "left")
+    return every.withColumn("count", F.coalesce("count", F.lit(0))).drop("measure")
 
 
 def _most_frequent(df: DataFrame, names: Sequence[str]) -> DataFrame:

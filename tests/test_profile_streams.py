@@ -2,11 +2,13 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from fareloom.functions.numeric import exact_avg, weighted_sum
 from fareloom.operators import profile as pf, runs as rn
 from fareloom.operators.quantiles import exact_quantiles, melt, value_counts
 from fareloom.streaming import runs as srn
@@ -109,6 +111,36 @@ def test_describe_like_pandas(spark):
     assert empty["t"]["top"] is None and empty["n"]["mean"] is None
 
 
+def test_describe_adds_up_counted_values(spark, tmp_path):
+    """Once the values are counted, the rows are not read again."""
+    path = str(tmp_path / "rows")
+    spark.range(1000).select((F.col("id") % 7).alias("n"), (F.col("id") / 8).alias("v")).write.parquet(path)
+    described = pf.describe(spark.read.parquet(path))
+    assert not [f for f in described.inputFiles() if path in f]
+    got = {r.column_name: r for r in described.collect()}
+    assert got["n"]["count"] == 1000 and got["v"]["mean"] == 999 / 16
+
+
+def test_describe_odd_columns(spark):
+    inf = float("inf")
+    rows = [(1.5, inf, None, 2.0**60, 0.1), (None, 1.0, float("nan"), 1.0, 0.2), (None, 2.0, None, 1.0, 0.3)]
+    df = spark.createDataFrame(rows, "one double, endless double, none double, large double, tenth double")
+    got = {r.column_name: r for r in pf.describe(df).collect()}
+    assert (got["one"]["count"], got["one"]["mean"], got["one"]["std"]) == (1, 1.5, None)
+    assert got["endless"]["mean"] == inf and np.isnan(got["endless"]["std"])
+    assert (got["none"]["count"], got["none"]["mean"], got["none"]["median"]) == (0, None, None)
+    assert got["large"]["mean"] == pytest.approx((2.0**60 + 2) / 3) and got["large"]["median"] == 1.0
+    assert got["tenth"]["mean"] == df.agg(exact_avg("tenth")).first()[0]
+
+
+def test_weighted_sums_like_sums(spark):
+    values = [(0.1, 3), (9999999.875, 10**11), (-0.25, 7), (1e300, 2), (None, 4)]
+    counted = spark.createDataFrame(values, "v double, n long")
+    got = counted.filter("v < 1e7").agg(weighted_sum("v", "n")).first()[0]
+    assert got == float(Decimal("0.1") * 3 + Decimal("9999999.875") * 10**11 - Decimal("0.25") * 7)
+    assert counted.agg(weighted_sum("v", "n")).first()[0] == 2e300
+
+
 def test_schema_rows(spark):
     df = spark.createDataFrame([(1, "ab", None), (None, "é", 2.0)], "a int, b string, c double")
     assert [tuple(r) for r in pf.schema_rows(df).orderBy("position").collect()] == [
