@@ -73,7 +73,7 @@ def as_of(
 def _left_behind(sliced: DataFrame, cuts: DataFrame) -> DataFrame:
     """For every slice of a cut key the last version of the slices before it.
 
-    A cut key has one row per slice, and all have fewer than twice the parts that the cuts
+    A cut key has one row per slice, and all have fewer than twice the blocks that the cuts
     come from, so the result may be broadcast.
     """
     last = (

@@ -22,34 +22,42 @@ def cut_slices(
 ) -> DataFrame | None:
     """Where to cut the keys of ``df`` that have more than about ``rows`` rows.
 
-    Key and order column are range-partitioned into as many parts as ``df`` has times
-    ``rows``; a key that runs over a part's end is cut where the next part begins. So there
-    are fewer cuts than parts. Result: the cut keys as ``_cut_key`` with their cuts, in
+    Key and order column are range-partitioned and sorted, and every part is dealt into blocks
+    of ``rows``; a key that runs over a block's end is cut where the next block begins. Small
+    slices do not make more parts than a shuffle usually has, or than :data:`SLICE_ROWS` rows a
+    part need: every part sends a sample and a result to the driver. Result: the cut keys as ``_cut_key`` with their cuts, in
     order, written to the shared folder because another run would cut elsewhere; None
     when there is nothing to cut. The order column must not be NULL and should be unique
     in a key: equal values stay in one slice.
     """
+    spark = df.sparkSession
     narrow = df.select(F.col(key).alias("_cut_key"), F.col(order).alias("_at"))
-    parts = -(-narrow.count() // rows)
-    if parts < 2:
+    size = narrow.count()
+    if size <= rows:
         return None
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(-(-size // rows), max(usual, -(-size // SLICE_ROWS)))
     place = F.struct("_cut_key", "_at")
+    # The id is the part's number, then the row's in it.
+    row = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
     edges = (
         narrow.repartitionByRange(parts, "_cut_key", "_at")
-        .groupBy(F.spark_partition_id().alias("_part"))
+        .sortWithinPartitions("_cut_key", "_at")
+        .withColumn("_row", F.monotonically_increasing_id())
+        .groupBy(F.shiftright("_row", 33).alias("_part"), F.floor(row / rows).alias("_block"))
         .agg(F.min(place).alias("_low"), F.max(place).alias("_high"))
     )
-    # One row for each part.
-    before = F.lag("_high").over(Window.orderBy("_part"))
+    # One row for each block. A cut among equal values comes before all of them.
+    before = F.lag("_high").over(Window.orderBy("_part", "_block"))
     cuts = (
         edges.withColumn("_before", before)
-        .filter((F.col("_before._cut_key") == F.col("_low._cut_key")) & (F.col("_before._at") < F.col("_low._at")))
+        .filter(F.col("_before._cut_key") == F.col("_low._cut_key"))
         .groupBy(F.col("_low._cut_key").alias("_cut_key"))
-        .agg(F.sort_array(F.collect_list("_low._at")).alias("_cuts"))
+        .agg(F.sort_array(F.collect_set("_low._at")).alias("_cuts"))
     )
-    path = shared_dir(df.sparkSession, "slice-cuts")
+    path = shared_dir(spark, "slice-cuts")
     cuts.write.parquet(path)
-    return df.sparkSession.read.schema(cuts.schema).parquet(path)
+    return spark.read.schema(cuts.schema).parquet(path)
 
 
 def with_slices(
@@ -57,7 +65,7 @@ def with_slices(
 ) -> DataFrame:
     """``df`` with the number of each row's slice in its key as ``_slice``.
 
-    The cuts are fewer than the parts they come from, so they are broadcast.
+    The cuts are fewer than the blocks they come from, so they are broadcast.
     """
     if cuts is None:
         return df.withColumn("_slice", F.lit(0).cast("long"))

@@ -314,6 +314,21 @@ def test_slices_do_not_depend_on_the_scale_of_the_order(spark):
     assert cut_slices(dense, "k", "n", 1_000_000) is None
 
 
+def test_small_slices_need_few_parts(spark, monkeypatch):
+    """Tasks follow the usual number of parts; slices, also of values that repeat, stay of bounded depth."""
+    frame = spark.range(9000).select(
+        F.when(F.col("id") % 9 < 7, 1).otherwise(F.col("id")).alias("k"), F.floor(F.rand(3) * 300).alias("n"))
+    frame = frame.localCheckpoint()
+    parts, real = [], type(frame).repartitionByRange
+    monkeypatch.setattr(type(frame), "repartitionByRange", lambda df, n, *by: parts.append(n) or real(df, n, *by))
+    cuts = cut_slices(frame, "k", "n", 15)
+    assert max(parts) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = with_slices(frame, cuts, "k", F.col("n")).filter("k = 1").groupBy("_slice").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("n").alias("low"), F.max("n").alias("high")).orderBy("_slice").collect()
+    assert sum(r["rows"] for r in rows) == 7000 and max(r["rows"] for r in rows) < 100
+    assert all(a.high < b.low for a, b in zip(rows, rows[1:]))
+
+
 def test_repeated_keys_with_a_hot_and_a_null_key(spark):
     rows = spark.range(9000).select(
         F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 1000 == 1, F.lit(None))
