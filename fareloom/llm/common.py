@@ -55,17 +55,21 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def join_counted(left: DataFrame, right: DataFrame, key: str, copies: str, how: str = "left") -> DataFrame:
+def join_counted(
+    left: DataFrame, right: DataFrame, key: str, copies: str, how: str = "left", merged: bool = False
+) -> DataFrame:
     """left join right on `key`, whatever share of left one key has.
 
     right: one row per key, with the number of left's rows in `copies` (dropped). Keys with more than 1/HOT_SHARE
     of all rows number at most HOT_SHARE, so those are broadcast by proof; the rest is shuffled. left is read
     twice and should be a stored table. how: "left" or "inner". Null keys match nothing.
+    merged: the rest is shuffled even where Spark takes right for small by the compressed bytes of its files.
     """
     total = right.agg(F.sum(copies)).first()[0] or 0
     is_hot = F.col(copies) * HOT_SHARE > F.lit(total)
     hot = right.filter(is_hot).drop(copies)
     cold = right.filter(~is_hot).drop(copies)
+    cold = cold.hint("merge") if merged else cold
     hot_keys = hot.select(key)
     on_hot = left.join(F.broadcast(hot), key, "inner")
     rest = left.join(F.broadcast(hot_keys), key, "left_anti").join(cold, key, how)

@@ -399,3 +399,25 @@ def test_models_tell_styles_apart(spark):
     urls = spark.createDataFrame([(u,) for u in good + bad + open_good + open_bad], "url string")
     found = {r.url: r.verdict for r in uf.filter_urls(urls).collect()}
     assert {found[u] for u in open_good} == {"allow"} and {found[u] for u in open_bad} == {"block"}
+
+
+def test_model_tables_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """Bytes of files say little of rows: only hot grams and hot URLs are broadcast, however small the files are."""
+    plans, stored = {}, uf.stored
+
+    def final_plan(df):
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+
+    def recorded(df, name):
+        plans[name] = final_plan(df)
+        return stored(df, name)
+
+    monkeypatch.setattr(uf, "stored", recorded)
+    rng = random.Random(4)
+    urls = [f"http://h{i % 7}.{rng.choice(['com', 'net', 'org'])}/{rng.choice(['es', 'de'])}/{rng.random()}" for i in range(400)]
+    plans["result"] = final_plan(uf.op13_url_filter(spark, write_pages(spark, tmp_path, urls + urls[:1] * 20)))
+    joins = {name: (plan.count("BroadcastHashJoin"), plan.count("SortMergeJoin")) for name, plan in plans.items()}
+    levels = {f"url-level-{n}": (0, 1 if n > 1 else 0) for n in range(1, uf.ORDER + 2)}
+    none = dict.fromkeys(["urls", "url-grams", "url-counts", "url-ratios"], (0, 0))
+    assert joins == levels | none | {"url-scores": (2, 1), "url-verdicts": (0, 1), "result": (2, 1)}
